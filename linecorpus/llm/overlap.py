@@ -4,10 +4,13 @@ Labels are normalised to their letters and digits.  A rolling hash of
 :data:`Q` letters runs over each; chunks are cut where it is lowest in an order
 that depends on content alone: rarest hash cells of the whole corpus first, the
 hash itself second.  With at most ``d`` edits between two texts no more than
-``Q * d`` of their windows differ, so the ``Q * d + 1`` lowest windows of both
-share at least one (the prefix filter): joining the digests of these chunks
-across splits loses no pair.  Shared chunk lengths are summed per pair into an
-overlap fraction, and an exact edit distance decides.
+``Q * d`` of their windows differ, so the ``Q * d + T`` lowest windows of both
+(all copies of the last one too) share at least ``T`` (the prefix filter):
+joining the digests of these chunks across splits and asking for ``T`` shared
+ones loses no pair.  A label of 20 letters or more has at least 9 windows
+beyond ``Q * d``, so ``T`` never asks for more than there are.  Shared chunk
+lengths are summed per pair into an overlap fraction, and an exact edit
+distance decides.
 
 Copies are joined once per distinct text, not once per row.  Null and empty
 labels, labels of fewer than ``min_letters`` letters and rows without a split
@@ -16,7 +19,6 @@ take no part; extra columns are ignored; an empty table gives no pairs.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,8 @@ from linecorpus.llm.sketches import hashed_counts, mix
 from linecorpus.plans.lineage import cut
 
 Q = 4
+#: shared chunks that a pair must have
+T = 4
 MIN_LETTERS = 20
 #: one edit in so many letters of the longer label
 ONE_IN = 8
@@ -68,22 +72,21 @@ def _hashes(texts: list[str]) -> np.ndarray:
 
 
 def normalised(df: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
-    """``(ord, train, tid, norm)`` of the rows that take part; ``tid`` digests ``norm``."""
+    """``(ord, train, norm)`` of the rows that take part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: dict[str, list] = {"ord": [], "train": [], "tid": [], "norm": []}
+            out: dict[str, list] = {"ord": [], "train": [], "norm": []}
             for o, s, label in zip(*(c.to_pylist() for c in b.columns)):
                 norm, letters = comparable(label)
                 if letters >= min_letters:
                     out["ord"].append(o)
                     out["train"].append(s == "train")
-                    out["tid"].append(int.from_bytes(hashlib.blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
                     out["norm"].append(norm)
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("ord", pa.int64()), ("train", pa.bool_()), ("tid", pa.int64()), ("norm", pa.string())]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("ord", pa.int64()), ("train", pa.bool_()), ("norm", pa.string())]))
 
     rows = df.where(F.col("split").isin("train", "test") & (F.length("label") >= min_letters) & F.col("ord").isNotNull()).select("ord", "split", "label")
-    return rows.mapInArrow(run, "ord long, train boolean, tid long, norm string")
+    return rows.mapInArrow(run, "ord long, train boolean, norm string")
 
 
 def chunks(texts: DataFrame, counts, prefix: str) -> DataFrame:
@@ -99,10 +102,10 @@ def chunks(texts: DataFrame, counts, prefix: str) -> DataFrame:
             freq = cells[(h >> np.uint64(64 - BITS)).astype(np.int64)]
             order = np.lexsort((place, h, freq, row))
             h, row, place = h[order], row[order], place[order]
-            first = np.searchsorted(row, np.arange(len(tids)))
-            rank = np.arange(len(row)) - first[row]
             n = np.array([len(t) for t in norms], np.int64)
-            keep = rank <= Q * allowed(n)[row]
+            first = np.searchsorted(row, np.arange(len(tids) + 1))
+            end = np.minimum(first[:-1] + Q * allowed(n) + T, first[1:]) - 1
+            keep = (np.arange(len(row)) <= end[row]) | (h == h[end][row])
             h, row, place = h[keep], row[keep], place[keep]
             yield pa.RecordBatch.from_pydict({"chunk": h.view(np.int64), "tid": np.array(tids, np.int64)[row], "at": (place << 24) | n[row]})
 
@@ -119,25 +122,24 @@ def cross_split_pairs(df: DataFrame, min_letters: int = MIN_LETTERS) -> DataFram
     rows = cut(normalised(df, min_letters))
     counts = spark.sparkContext.broadcast(hashed_counts(rows.select("norm"), _hashes, BITS))
     test, train = (rows.where(F.col("train") == x) for x in (False, True))
-    same = test.select("tid", "norm", F.col("ord").alias("test_ord")).join(train.select("tid", "norm", F.col("ord").alias("train_ord")), ["tid", "norm"])
-    same = same.select("test_ord", "train_ord", F.lit(0).alias("edits"), F.lit(1.0).alias("overlap"))
-
-    texts = {p: x.select("tid", "norm").distinct() for p, x in (("a", test), ("b", train))}
+    # one identifier per distinct text of a side: the least ord that has it
+    texts = {p: x.groupBy("norm").agg(F.min("ord").alias("tid")).select("tid", "norm") for p, x in (("a", test), ("b", train))}
     a, b = (chunks(t, counts, p) for p, t in texts.items())
     place, size = (lambda c: F.shiftright(c, 24)), (lambda c: F.col(c).bitwiseAND(0xFFFFFF))
     most = F.greatest(size("a_at"), size("b_at"))
     near = (F.abs(size("a_at") - size("b_at")) * ONE_IN <= most) & (F.abs(place("a_at") - place("b_at")) * ONE_IN <= most)
     met = a.join(b, "chunk").where(near)
-    pairs = met.groupBy("a_tid", "b_tid").agg((F.count(F.lit(1)) * Q).alias("shared"), F.max(size("a_at")).alias("n"))
-    named = pairs.join(texts["a"].select(F.col("tid").alias("a_tid"), F.col("norm").alias("a_norm")), "a_tid").join(texts["b"].select(F.col("tid").alias("b_tid"), F.col("norm").alias("b_norm")), "b_tid")
+    pairs = met.groupBy("a_tid", "b_tid").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= T)
+    ta, tb = (texts[p].select(F.col("tid").alias(f"{p}_tid"), F.col("norm").alias(f"{p}_norm")) for p in ("a", "b"))
+    named = pairs.join(ta, "a_tid").join(tb, "b_tid").where(F.col("a_norm") != F.col("b_norm"))
     longer = F.greatest(F.length("a_norm"), F.length("b_norm"))
-    # a constant bound lets the distance stop early; the exact one follows
-    named = named.where(F.col("a_norm") != F.col("b_norm")).withColumn("edits", F.levenshtein("a_norm", "b_norm")).where(F.col("edits") * ONE_IN <= longer)
-    close = named.select("a_tid", "a_norm", "b_tid", "b_norm", "edits", F.least(F.lit(1.0), F.col("shared") / (Q * (Q * ((F.col("n") * ONE_IN / (ONE_IN - 1)).cast("long") / ONE_IN).cast("long") + 1))).alias("overlap"))
-    t = test.select(F.col("tid").alias("a_tid"), F.col("norm").alias("a_norm"), F.col("ord").alias("test_ord"))
-    r = train.select(F.col("tid").alias("b_tid"), F.col("norm").alias("b_norm"), F.col("ord").alias("train_ord"))
-    full = close.join(t, ["a_tid", "a_norm"]).join(r, ["b_tid", "b_norm"]).select("test_ord", "train_ord", F.col("edits").cast("int").alias("edits"), "overlap")
-    return same.unionByName(full)
+    named = named.withColumn("edits", F.levenshtein("a_norm", "b_norm")).where(F.col("edits") * ONE_IN <= longer)
+    looked = Q * F.floor(F.floor(F.length("a_norm") * ONE_IN / (ONE_IN - 1)) / ONE_IN) + T
+    close = named.select("a_norm", "b_norm", "edits", F.least(F.lit(1.0), F.col("shared") / looked).alias("overlap"))
+    same = ta.join(tb, F.col("a_norm") == F.col("b_norm")).select("a_norm", "b_norm", F.lit(0).alias("edits"), F.lit(1.0).alias("overlap"))
+    t, r = (x.select(F.col("norm").alias(f"{p}_norm"), F.col("ord").alias(o)) for p, x, o in (("a", test, "test_ord"), ("b", train, "train_ord")))
+    full = same.unionByName(close).join(t, "a_norm").join(r, "b_norm")
+    return full.select("test_ord", "train_ord", F.col("edits").cast("int").alias("edits"), "overlap")
 
 
 def overlap_report(pairs: DataFrame, sources: DataFrame) -> DataFrame:
