@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,32 +85,42 @@ def vote(a: str, b: str, c: str) -> str:
     a lone letter costs one.
     """
     s = (a, b, c)
+    shape = tuple(len(x) + 2 for x in s)
+    codes = [np.array([-1 - n, *map(ord, x)], np.int64) for n, x in enumerate(s)]
+    # cell (i, j, k) stands at (i + 1, j + 1, k + 1), so every move stays inside the padded cube
+    cost = np.full(shape, 1 << 20, np.int32)
+    grid = np.indices([n - 1 for n in shape]).reshape(3, -1)
+    total = grid.sum(0)
+    order = np.argsort(total, kind="stable")
+    grid, total = grid[:, order], total[order]
+    flat, strides = cost.reshape(-1), np.array([shape[1] * shape[2], shape[2], 1])
+    at = ((grid + 1) * strides[:, None]).sum(0)
+    x, y, z = (codes[n][grid[n]] for n in range(3))
+    same = np.stack([x == y, x == z, y == z])
+    pair = {(1, 1, 0): ~same[0], (1, 0, 1): ~same[1], (0, 1, 1): ~same[2], (1, 1, 1): 2 - np.minimum(2, same.sum(0))}
+    edges = np.searchsorted(total, np.arange(total[-1] + 2))
+    flat[at[0]] = 0
+    for lo, hi in zip(edges[1:-1], edges[2:]):
+        here = at[lo:hi]
+        best = np.full(hi - lo, 1 << 20, np.int32)
+        for move in _MOVES:
+            price = pair[move][lo:hi] if move in pair else 1
+            np.minimum(best, flat[here - int(strides @ np.array(move))] + price, out=best)
+        flat[here] = best
 
     def price(chars: list[str]) -> int:
         return 1 if len(chars) == 1 else len(set(chars)) - 1
 
-    cost = {(0, 0, 0): 0}
-    for i in range(len(a) + 1):
-        for j in range(len(b) + 1):
-            for k in range(len(c) + 1):
-                at = (i, j, k)
-                if at == (0, 0, 0):
-                    continue
-                cost[at] = min(
-                    cost[i - x, j - y, k - z] + price([q[p - 1] for q, p, m in zip(s, at, (x, y, z)) if m])
-                    for x, y, z in _MOVES
-                    if i >= x and j >= y and k >= z
-                )
-    at, out = (len(a), len(b), len(c)), []
-    while at != (0, 0, 0):
+    place, out = tuple(map(len, s)), []
+    while place != (0, 0, 0):
         for move in _MOVES:
-            back = tuple(p - m for p, m in zip(at, move))
+            back = tuple(p - m for p, m in zip(place, move))
             if min(back) < 0:
                 continue
-            chars = [q[p - 1] for q, p, m in zip(s, at, move) if m]
-            if cost[at] == cost[back] + price(chars):
-                out.append(max(chars, key=lambda x: (chars.count(x), -chars.index(x))))
-                at = back
+            chars = [q[p - 1] for q, p, m in zip(s, place, move) if m]
+            if cost[tuple(p + 1 for p in place)] == cost[tuple(p + 1 for p in back)] + price(chars):
+                out.append(max(chars, key=lambda ch: (chars.count(ch), -chars.index(ch))))
+                place = back
                 break
     return "".join(reversed(out))
 
