@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linecorpus.functions.text import normalize_truth, tokens
@@ -27,12 +27,19 @@ def word_distance(a: Column, b: Column) -> Column:
     return F.levenshtein(line(a), line(b))
 
 
-def wer(truth: Column, read: Column, compose: bool = True) -> Column:
-    """Word error rate in percent over both texts' normal forms."""
-    t, r = tokens(normalize_truth(truth, compose)), tokens(normalize_truth(read, compose))
+def wer(truth: Column, read: Column) -> Column:
+    """Word error rate in percent of two texts in normal form (a Python function cannot run within its lambdas; see :func:`rated`)."""
+    t, r = tokens(F.coalesce(truth, F.lit(""))), tokens(F.coalesce(read, F.lit("")))
     return capped_rate(word_distance(t, r), F.size(t), F.size(r))
 
 
+def rated(df: DataFrame, truth: str, read: str) -> DataFrame:
+    """``df`` with ``cer`` and ``wer`` over the normal forms of two columns, each made once."""
+    d = df.withColumn("__t", normalize_truth(F.col(truth))).withColumn("__r", normalize_truth(F.col(read)))
+    c = capped_rate(F.levenshtein("__t", "__r"), F.length("__t"), F.length("__r"))
+    return d.withColumn("cer", c).withColumn("wer", wer(F.col("__t"), F.col("__r"))).drop("__t", "__r")
+
+
 def viewer_cer(truth: Column, read: Column) -> Column:
     """The viewer's rate: texts as they are, not capped, two decimals."""
     t, r = F.coalesce(truth, F.lit("")), F.coalesce(read, F.lit(""))

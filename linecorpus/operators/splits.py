@@ -64,7 +64,7 @@ def every_nth_split(df: DataFrame, order: str, ratio: float = 0.8) -> DataFrame:
         return r.withColumn("split", F.when((F.col("rn0") > 0) & (F.col("rn0") % 5 == 0), "test").otherwise("train"))
     n = r.agg(F.coalesce(F.max("rn0") + 1, F.lit(0))).first()[0]
     tests = df.sparkSession.createDataFrame([(i,) for i in accumulator_tests(n, ratio)], "rn0 long").withColumn("__t", F.lit(True))
-    return r.join(tests, "rn0", "left").withColumn("split", F.when("__t", "test").otherwise("train")).drop("__t")
+    return r.join(tests, "rn0", "left").withColumn("split", F.when(F.col("__t"), "test").otherwise("train")).drop("__t")
 
 
 def split_unset(df: DataFrame, order: str, ratio: float = 0.8) -> DataFrame:

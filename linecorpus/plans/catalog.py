@@ -665,6 +665,8 @@ def _(s, d):
 def _(s, d):
     o = table(s, d, "line_metadata").select("id", F.col("initial_ocr").alias("third"))
     m = table(s, d, "manifest_w_lang").where("label <> '' and initial_ocr <> '' and ftm_ocr <> '' and label <> ftm_ocr").join(o, "id").where("third <> '' and initial_ocr <> third and ftm_ocr <> third")
+    # few rows of much work: spread them
+    m = m.repartition(2 * s.sparkContext.defaultParallelism)
     return m.select("ord", sequences.majority(F.col("initial_ocr"), F.col("ftm_ocr"), F.col("third")).alias("voted"))
 
 
