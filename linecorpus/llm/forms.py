@@ -107,8 +107,20 @@ _CHR_LETTER = re.compile(f"[{CHR}]")
 _LATIN = re.compile("[A-Za-z]")
 
 
+#: combining marks; a Latin letter with one is not a plain letter that could look like another
+_MARKS = "\u0300-\u034e\u0350-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20f0"
+_ACCENTED = f"[A-Za-z][{_MARKS}]+"
+_DROP_ACCENTED = re.compile(_ACCENTED)
+
+
+def _is_cherokee(tok: str) -> bool:
+    c, latin = len(_CHR_LETTER.findall(tok)), _LATIN.findall(tok)
+    return c > 0 and c >= len(latin) and all(x in LOOKS_CHEROKEE for x in latin)
+
+
 def _script(tok: str, prev: str, nxt: str, first: bool, last: bool) -> str:
     """Script whose look-alikes a token takes: ``chr``, ``lat`` or ``none``."""
+    tok = _DROP_ACCENTED.sub("", tok)
     c = _CHR_LETTER.findall(tok)
     latin = _LATIN.findall(tok)
     looks = [x for x in tok if x in LOOKS_CHEROKEE]
@@ -121,7 +133,7 @@ def _script(tok: str, prev: str, nxt: str, first: bool, last: bool) -> str:
             return "lat" if back else "none"
         return "lat" if back and len(latin) > len(c) else "chr"
     if latin and len(looks) == len(re.findall("[A-Za-z0-9]", tok)):
-        near_p, near_n = bool(_CHR_LETTER.search(prev)), bool(_CHR_LETTER.search(nxt))
+        near_p, near_n = _is_cherokee(prev), _is_cherokee(nxt)
         if (near_p or first) and (near_n or last) and (near_p or near_n):
             return "chr"
     return "none"
@@ -155,7 +167,7 @@ def canonical(text: str | None, known=None) -> str | None:
     if not _SUSPECT.search(text):
         return text
     plain = plain_map()
-    mapped = _recompose("".join(plain.get(x, x) for x in text))
+    mapped = "".join(plain.get(x, x) for x in text)
     toks = _TOKENS.findall(mapped)[:-1] if mapped else []
     out = []
     for i, tok in enumerate(toks):
@@ -165,7 +177,7 @@ def canonical(text: str | None, known=None) -> str | None:
             tok = _settle(tok, done, known) if known is not None else done
         elif s == "lat":
             tok = "".join(LATIN_OF.get(x, x) for x in tok)
-        out.append(tok)
+        out.append(_recompose(tok))
     return "".join(out)
 
 
@@ -201,21 +213,25 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form")
     keep = base.where(~suspect).select(*key, F.col("__text").alias(text), F.col("__text").alias(out))
     look, chr_re = f"[{_LOOK}]", f"[{CHR}]"
     # Plain forms come first, so that a word's script is judged on usual letters.
-    folds = "".join(LOOKS_LATIN)
-    b = base.where(suspect).withColumn("__t", F.translate("__text", folds, "".join(LOOKS_LATIN.values())))
-    wide = "".join(chr(0xFF01 + i) for i in range(94) if chr(0x21 + i).isalnum())
-    b = b.withColumn("__t", F.translate("__t", wide, "".join(chr(ord(x) - 0xFEE0) for x in wide)))
-    odd = "".join(k for k, v in plain_map().items() if v == " ")
+    plain = plain_map()
+    fold = {k: next((x for x in v if x.isascii() and x.isalpha() and x not in LOOKS_CHEROKEE), next((x for x in v if x.isascii() and x.isalnum()), "")) for k, v in plain.items()}
+    fold = {k: v for k, v in fold.items() if v}
+    b = base.where(suspect).withColumn("__t", F.translate("__text", "".join(fold), "".join(fold.values())))
+    odd = "".join(k for k, v in plain.items() if v == " ")
+    unseen = "[" + "".join(k for k, v in plain.items() if v == "") + "]"
     b = b.withColumn("__toks", F.split(F.translate("__t", odd, " " * len(odd)), r"(?<=[ \n])"))
     # One character may be mapped to none or several only through the join below; tokens keep their length here.
 
     def script(t, i):
-        has = lambda x: F.coalesce(x.rlike(chr_re), F.lit(False))
+        seen = lambda x: F.regexp_replace(x, unseen, "")
+        chrs = lambda x: F.regexp_count(x, F.lit(chr_re))
+        has = lambda x: F.coalesce((chrs(x) > 0) & (chrs(x) >= F.regexp_count(x, F.lit("[A-Za-z]"))) & ~x.rlike(f"[A-Za-z&&[^{_LOOK}]]"), F.lit(False))
         toks = F.col("__toks")
         prev, nxt = F.get(toks, i - 1), F.get(toks, i + 1)
         # a last empty token is an end, not a neighbour
         end = nxt.isNull() | (nxt == "")
-        c, latin = F.regexp_count(t, F.lit(chr_re)), F.regexp_count(t, F.lit("[A-Za-z]"))
+        t = F.regexp_replace(seen(t), _ACCENTED, "")
+        c, latin = chrs(t), F.regexp_count(t, F.lit("[A-Za-z]"))
         looks, foreign = F.regexp_count(t, F.lit(look)), F.regexp_count(t, F.lit(f"[A-Za-z&&[^{_LOOK}]]"))
         alnum = F.regexp_count(t, F.lit("[A-Za-z0-9]"))
         back = F.regexp_count(t, F.lit("[" + "".join(LATIN_OF) + "]")) == c
@@ -229,16 +245,16 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form")
     toks = F.transform("__toks", lambda t, i: F.struct(F.length(t).alias("n"), script(t, i).alias("s")))
     scripts = F.flatten(F.transform(toks, lambda x: F.array_repeat(x["s"], x["n"])))
     cps = F.arrays_zip(F.split("__text", "").alias("cp"), scripts.alias("s"))
-    points = b.select(*key, "__text", F.posexplode(cps).alias("pos", "x")).select(*key, "__text", "pos", F.col("x.cp").alias("cp"), F.col("x.s").alias("s")).where(F.col("cp") != "")
-    m = F.broadcast(tables(spark))
-    j = points.join(m, "cp", "left")
-    put = F.when(F.col("s") == "chr", F.coalesce("to_chr", "plain", "cp")).when(F.col("s") == "lat", F.coalesce("to_lat", "plain", "cp")).otherwise(F.coalesce("plain", "cp"))
-    j = j.select(*key, "__text", "pos", put.alias("put"), F.coalesce("ccc", F.lit(0)).alias("ccc"))
-    g = j.groupBy(*key).agg(F.first("__text").alias(text), F.array_sort(F.collect_list(F.struct("pos", "put", "ccc"))).alias("a"))
-    plainly = F.array_join(F.transform("a", lambda x: x["put"]), "")
+    points = b.select(*key, "__text", F.posexplode(cps).alias("__pos", "__x")).select(*key, "__text", "__pos", F.col("__x.cp").alias("__cp"), F.col("__x.s").alias("__s")).where(F.col("__cp") != "")
+    m = F.broadcast(tables(spark).toDF("__cp", "__plain", "__chr", "__lat", "__ccc"))
+    j = points.join(m, "__cp", "left")
+    put = F.when(F.col("__s") == "chr", F.coalesce("__chr", "__plain", "__cp")).when(F.col("__s") == "lat", F.coalesce("__lat", "__plain", "__cp")).otherwise(F.coalesce("__plain", "__cp"))
+    j = j.select(*key, "__text", F.struct(F.col("__pos").alias("pos"), put.alias("put"), F.coalesce("__ccc", F.lit(0)).alias("ccc")).alias("__x"))
+    g = j.groupBy(*key).agg(F.first("__text").alias("__text"), F.array_sort(F.collect_list("__x")).alias("__a"))
+    plainly = F.array_join(F.transform("__a", lambda x: x["put"]), "")
     # Within a run of marks order by class: the run's base position, then class, then position.
     based = F.aggregate(
-        "a",
+        "__a",
         F.struct(F.lit(-1).alias("at"), F.expr("cast(array() as array<struct<at:int,ccc:int,pos:int,put:string>>)").alias("l")),
         lambda acc, x: F.struct(
             F.when(x["ccc"] > 0, acc["at"]).otherwise(x["pos"]).alias("at"),
@@ -253,6 +269,6 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form")
         both = F.try_element_at(pairs, F.concat(last, x["put"]))
         return F.when((x["ccc"] > 0) & both.isNotNull(), F.concat(F.substring(acc, F.lit(1), F.length(acc) - 1), both)).otherwise(F.concat(acc, x["put"]))
 
-    marked = F.exists("a", lambda x: x["ccc"] > 0)
+    marked = F.exists("__a", lambda x: x["ccc"] > 0)
     form = F.when(marked, F.aggregate(based, F.lit(""), compose)).otherwise(plainly)
-    return keep.unionByName(g.select(*key, text, form.alias(out)))
+    return keep.unionByName(g.select(*key, F.col("__text").alias(text), form.alias(out)))

@@ -22,10 +22,9 @@ def size(text: Column, tokenizer: str = "byt5", path: str | None = None) -> Colu
     @F.pandas_udf("long")
     def count(col: pd.Series) -> pd.Series:
         sizes = counter(tokenizer, path)
-        some = col.notna()
-        out = pd.Series([None] * len(col), dtype="Int64", index=col.index)
-        out[some] = sizes(col[some].tolist())
-        return out
+        some = [x for x in col if x is not None]
+        got = iter(sizes(some) if some else [])
+        return pd.Series([None if x is None else next(got) for x in col], dtype="Int64", index=col.index)
 
     return count(text)
 
