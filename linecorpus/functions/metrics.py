@@ -19,18 +19,23 @@ def cer(truth: Column, read: Column, compose: bool = True) -> Column:
     return capped_rate(F.levenshtein(t, r), F.length(t), F.length(r))
 
 
+def once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def word_distance(a: Column, b: Column) -> Column:
     """Edit distance of two token arrays: each distinct token becomes one character of a private alphabet."""
-    alphabet = F.array_distinct(F.concat(a, b))
-    code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(alphabet, w) + 0x4DFF), 4, "0")), "UTF-16BE")
-    line = lambda ws: F.array_join(F.transform(ws, code), "")
-    return F.levenshtein(line(a), line(b))
+    code = lambda w, alphabet: F.decode(F.unhex(F.lpad(F.hex(F.array_position(alphabet, w) + 0x4DFF), 4, "0")), "UTF-16BE")
+    line = lambda ws, alphabet: F.array_join(F.transform(ws, lambda w: code(w, alphabet)), "")
+    value = F.struct(a.alias("a"), b.alias("b"), F.array_distinct(F.concat(a, b)).alias("all"))
+    return once(value, lambda x: F.levenshtein(line(x["a"], x["all"]), line(x["b"], x["all"])))
 
 
 def wer(truth: Column, read: Column) -> Column:
     """Word error rate in percent of two texts in normal form (a Python function cannot run within its lambdas; see :func:`rated`)."""
     t, r = tokens(F.coalesce(truth, F.lit(""))), tokens(F.coalesce(read, F.lit("")))
-    return capped_rate(word_distance(t, r), F.size(t), F.size(r))
+    return once(F.struct(t.alias("t"), r.alias("r")), lambda x: capped_rate(word_distance(x["t"], x["r"]), F.size(x["t"]), F.size(x["r"])))
 
 
 def rated(df: DataFrame, truth: str, read: str) -> DataFrame:
