@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linecorpus.llm.forms import canonical
+from linecorpus.llm.forms import LOOKS_CHEROKEE, canonical
 from linecorpus.llm.sketches import hashed_counts, mix
 from linecorpus.plans.lineage import cut
 
@@ -39,11 +39,15 @@ ONE_IN = 8
 BITS = 18
 
 
+#: letters that look like one Latin letter, and so like each other, count as one
+_ALIKE = str.maketrans({y: c[0] for c in LOOKS_CHEROKEE.values() for y in c[1:]})
+
+
 def comparable(label: str | None) -> tuple[str, int]:
     """Letters and digits in upper case, and how many letters they are."""
     if not label:
         return "", 0
-    up = canonical(label).upper()
+    up = canonical(label).upper().translate(_ALIKE)
     kept = "".join(x for x in up if x.isalnum())
     return kept, sum(x.isalpha() for x in kept)
 
