@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,39 +150,82 @@ def missing_crops(df: DataFrame, present: DataFrame, path: str = "image_path") -
     return df.where(~is_ignored()).join(present.select(path).distinct(), path, "left_anti")
 
 
+#: old lines of one block of the label transfer
+TRANSFER_BLOCK = 512
+
+
+def similar_pairs(old: list[str], new: list[str], least: float) -> list[tuple[int, int, float]]:
+    """All pairs of two lists of texts with a similarity above ``least``, by place.
+
+    The similarity cannot exceed the share of letters that two texts have in
+    common, whatever their order; that bound is counted for one old text against
+    all new ones at once, and only pairs it lets through are compared.
+    """
+    letters = {x: i for i, x in enumerate(sorted(set("".join(new))))}
+    have = np.zeros((len(new), len(letters) + 1), np.int32)
+    for i, t in enumerate(new):
+        for x in t:
+            have[i, letters[x]] += 1
+    sizes = np.array([len(t) for t in new])
+    out, m = [], difflib.SequenceMatcher(None)
+    for i, t in enumerate(old):
+        mine = np.zeros(len(letters) + 1, np.int32)
+        for x in t:
+            if x in letters:
+                mine[letters[x]] += 1
+        used = np.flatnonzero(mine)
+        common = np.minimum(have[:, used], mine[used]).sum(1)
+        m.set_seq1(t)
+        for j in np.flatnonzero(2.0 * common > least * (sizes + len(t))):
+            if t == new[j]:
+                out.append((i, int(j), 1.0))
+                continue
+            m.set_seq2(new[j])
+            if (r := m.ratio()) > least:
+                out.append((i, int(j), r))
+    return out
+
+
 def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> DataFrame:
     """Labels of old lines for new lines of the same scan by text similarity, one to one.
 
     Old lines are taken in their order; each takes the free new line with the
     highest ratio above ``least`` (the first of equals) out of the pool.  The
-    result is ``(old_id, new_id, status, label, ratio)``.  Scans are independent
-    and bounded by a page; a bundle of loose crops is the largest group, so only
-    the needed columns are grouped.
+    result is ``(old_id, new_id, status, label, ratio)``.
+
+    Similar pairs are found first, for blocks of a scan's old lines against all
+    its new ones, so a scan that holds much of the table is many tasks; only the
+    pairs found, not the lines, come together for the greedy choice.
     """
     ref = F.trim(or_else(F.trim("label"), F.trim("initial_ocr")))
-    o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & ref.isNotNull()).select("source_scan", F.lit(True).alias("is_old"), "ord", "id", ref.alias("text"), "status", "label")
-    n = new.where(F.col("status").eqNullSafe("unlabeled") & (F.trim("initial_ocr") != "")).select("source_scan", F.lit(False).alias("is_old"), "ord", "id", F.trim("initial_ocr").alias("text"), "status", "label")
-    both = o.unionByName(n).where(F.col("source_scan").isNotNull())
-    schema = T.StructType([T.StructField(c, t) for c, t in (("old_id", T.StringType()), ("new_id", T.StringType()), ("status", T.StringType()), ("label", T.StringType()), ("ratio", T.DoubleType()))])
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        free = [(r.id, r.text) for r in pdf[~pdf["is_old"]].itertuples()]
-        out = []
-        for r in pdf[pdf["is_old"]].itertuples():
-            best, at = least, -1
-            m = difflib.SequenceMatcher(None)
-            m.set_seq1(r.text)
-            for i, (_, text) in enumerate(free):
-                m.set_seq2(text)
-                # both bounds are upper ones, so no better match is passed over
-                if m.real_quick_ratio() > best and m.quick_ratio() > best and (v := m.ratio()) > best:
-                    best, at = v, i
-            if at >= 0:
-                out.append((r.id, free.pop(at)[0], r.status, r.label or None, best))
-        return pd.DataFrame(out, columns=["old_id", "new_id", "status", "label", "ratio"])
-
-    return both.groupBy("source_scan").applyInPandas(match, schema)
+    o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & ref.isNotNull() & F.col("source_scan").isNotNull()).select("source_scan", "ord", "id", ref.alias("text"), "status", "label")
+    n = new.where(F.col("status").eqNullSafe("unlabeled") & (F.trim("initial_ocr") != "") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), F.col("ord").alias("new_ord"), F.col("id").alias("new_id"), F.trim("initial_ocr").alias("new_text"))
+    blocks = o.groupBy("source_scan").agg(F.ceil(F.count(F.lit(1)) / TRANSFER_BLOCK).cast("int").alias("blocks"))
+    ob = o.join(blocks, "source_scan").withColumn("block", F.pmod(F.xxhash64("ord", "id"), F.col("blocks")).cast("int"))
+    every = blocks.select(F.col("source_scan").alias("scan"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
+    nb = n.join(every, "scan")
+
+    def near(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        got = similar_pairs(a["text"].tolist(), b["new_text"].tolist(), least)
+        i, j = [g[0] for g in got], [g[1] for g in got]
+        return pd.DataFrame({"source_scan": key[0], "old_ord": a["ord"].to_numpy()[i], "old_id": a["id"].to_numpy()[i], "new_ord": b["new_ord"].to_numpy()[j], "new_id": b["new_id"].to_numpy()[j], "ratio": [g[2] for g in got]})
+
+    kind = old.schema["ord"].dataType.simpleString()
+    pairs = ob.groupBy("source_scan", "block").cogroup(nb.groupBy("scan", "part")).applyInPandas(near, f"source_scan string, old_ord {kind}, old_id string, new_ord {kind}, new_id string, ratio double")
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["old_ord", "old_id", "ratio", "new_ord", "new_id"], ascending=[True, True, False, True, True], kind="stable")
+        taken, served, keep = set(), set(), []
+        for k, (oo, oi, no, ni) in enumerate(zip(pdf["old_ord"], pdf["old_id"], pdf["new_ord"], pdf["new_id"])):
+            if (oo, oi) not in served and (no, ni) not in taken:
+                served.add((oo, oi))
+                taken.add((no, ni))
+                keep.append(k)
+        return pdf.iloc[keep][["source_scan", "old_ord", "old_id", "new_id", "ratio"]]
+
+    won = pairs.groupBy("source_scan").applyInPandas(choose, f"source_scan string, old_ord {kind}, old_id string, new_id string, ratio double")
+    facts = o.select("source_scan", F.col("ord").alias("old_ord"), F.col("id").alias("old_id"), "status", F.nullif("label", F.lit("")).alias("label"))
+    return won.join(facts, ["source_scan", "old_ord", "old_id"]).select("old_id", "new_id", "status", "label", "ratio")
 
 
 def with_default(df: DataFrame, lookup: DataFrame, key: str, defaults: dict) -> DataFrame:

@@ -36,6 +36,30 @@ def test_transfer_is_one_to_one_and_strict(spark):
     assert got == [("o1", "n1"), ("o2", "n2")]  # 0.75 exactly is no match
 
 
+def test_transfer_against_the_plain_loop(spark, monkeypatch):
+    import difflib
+    import random
+
+    monkeypatch.setattr(manifest, "TRANSFER_BLOCK", 5)
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdef ", k=12)).strip() or "a" for _ in range(12)]
+    vary = lambda t: "".join(rng.choice("abcdef") if rng.random() < 0.15 else x for x in t).strip() or "a"
+    schema = "id string, ord int, source_scan string, status string, label string, initial_ocr string"
+    olds = [(f"o{i}", i, "st"[i % 2], "labeled", vary(rng.choice(base)), None) for i in range(40)]
+    news = [(f"n{i}", i, "st"[i % 2], "unlabeled", None, vary(rng.choice(base))) for i in range(40)]
+    want, free = [], list(news)
+    for o in olds:
+        best, at = 0.75, None
+        for n in free:
+            if n[2] == o[2] and (r := difflib.SequenceMatcher(None, o[4], n[5]).ratio()) > best:
+                best, at = r, n
+        if at:
+            free.remove(at)
+            want.append((o[0], at[0]))
+    got = manifest.transfer_labels(spark.createDataFrame(olds, schema), spark.createDataFrame(news, schema))
+    assert rows(got.select("old_id", "new_id")) == sorted(want, key=repr)
+
+
 def test_error_values_are_three_states(spark):
     df = spark.createDataFrame([(None, None), ("Error", None), ("", "Error"), ("x", "")], "ftm_ocr string, predicted_lang string")
     assert df.where(~manifest.is_error()).count() == 2
