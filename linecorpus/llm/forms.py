@@ -201,11 +201,31 @@ def tables(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "cp string, plain string, to_chr string, to_lat string, ccc int")
 
 
-def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form") -> DataFrame:
+#: letters that two look-alikes exist for: Latin, first, second
+_TWO = "".join(k for k, c in LOOKS_CHEROKEE.items() if len(c) > 1)
+_FIRST, _SECOND = "".join(LOOKS_CHEROKEE[k][0] for k in _TWO), "".join(LOOKS_CHEROKEE[k][1] for k in _TWO)
+#: terms that may settle look-alikes; they are broadcast
+MOST_KNOWN = 200_000
+
+
+def settling(known: DataFrame) -> DataFrame:
+    """One row with the map ``__known`` from a term's letters, second look-alikes as first ones, to the term."""
+    up = F.regexp_replace(F.upper("term"), f"[^{CHR}]", "")
+    t = known.where(F.col("term").isNotNull()).select(up.alias("t")).where(F.col("t").rlike(f"[{_SECOND}]") | F.col("t").rlike(f"[{_FIRST}]"))
+    if t.count() > MOST_KNOWN:
+        raise ValueError(f"at most {MOST_KNOWN} terms can settle look-alikes")
+    order = F.translate("t", _FIRST + _SECOND, "0" * len(_FIRST) + "1" * len(_SECOND))
+    t = t.groupBy(F.translate("t", _SECOND, _FIRST).alias("k")).agg(F.min_by("t", order).alias("t"))
+    return t.agg(F.map_from_entries(F.collect_list(F.struct("k", "t"))).alias("__known"))
+
+
+def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form", known: DataFrame | None = None) -> DataFrame:
     """``df``'s ``key`` columns, ``text`` and its canonical form ``out``.
 
     ``key`` must be unique; rows with a null or unchanged text pass through
-    without any shuffle, only texts that can change are exploded.
+    without any shuffle, only texts that can change are exploded.  ``known``
+    (a small table with ``term``) settles letters that have two look-alikes;
+    without it, or where no term fits, the commoner one is taken.
     """
     spark = df.sparkSession
     base = df.select(*key, F.col(text).alias("__text"))
@@ -244,13 +264,15 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form")
 
     toks = F.transform("__toks", lambda t, i: F.struct(F.length(t).alias("n"), script(t, i).alias("s")))
     scripts = F.flatten(F.transform(toks, lambda x: F.array_repeat(x["s"], x["n"])))
+    open_ = F.transform("__toks", lambda t, i: F.when((script(t, i) == "chr") & t.rlike(f"[{_TWO}]"), F.upper(F.regexp_replace(t, f"[^{CHR}{_LOOK}]", ""))))
+    b = b.withColumn("__open", F.when(F.exists(open_, lambda x: x.isNotNull()), open_) if known is not None else F.lit(None).cast("array<string>"))
     cps = F.arrays_zip(F.split("__text", "").alias("cp"), scripts.alias("s"))
-    points = b.select(*key, "__text", F.posexplode(cps).alias("__pos", "__x")).select(*key, "__text", "__pos", F.col("__x.cp").alias("__cp"), F.col("__x.s").alias("__s")).where(F.col("__cp") != "")
+    points = b.select(*key, "__text", "__open", F.posexplode(cps).alias("__pos", "__x")).select(*key, "__text", "__open", "__pos", F.col("__x.cp").alias("__cp"), F.col("__x.s").alias("__s")).where(F.col("__cp") != "")
     m = F.broadcast(tables(spark).toDF("__cp", "__plain", "__chr", "__lat", "__ccc"))
     j = points.join(m, "__cp", "left")
     put = F.when(F.col("__s") == "chr", F.coalesce("__chr", "__plain", "__cp")).when(F.col("__s") == "lat", F.coalesce("__lat", "__plain", "__cp")).otherwise(F.coalesce("__plain", "__cp"))
-    j = j.select(*key, "__text", F.struct(F.col("__pos").alias("pos"), put.alias("put"), F.coalesce("__ccc", F.lit(0)).alias("ccc")).alias("__x"))
-    g = j.groupBy(*key).agg(F.first("__text").alias("__text"), F.array_sort(F.collect_list("__x")).alias("__a"))
+    j = j.select(*key, "__text", F.when(F.col("__pos") == 0, F.col("__open")).alias("__open"), F.struct(F.col("__pos").alias("pos"), put.alias("put"), F.coalesce("__ccc", F.lit(0)).alias("ccc")).alias("__x"))
+    g = j.groupBy(*key).agg(F.first("__text").alias("__text"), F.first("__open", ignorenulls=True).alias("__open"), F.array_sort(F.collect_list("__x")).alias("__a"))
     plainly = F.array_join(F.transform("__a", lambda x: x["put"]), "")
     # Within a run of marks order by class: the run's base position, then class, then position.
     based = F.aggregate(
@@ -271,4 +293,19 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form")
 
     marked = F.exists("__a", lambda x: x["ccc"] > 0)
     form = F.when(marked, F.aggregate(based, F.lit(""), compose)).otherwise(plainly)
-    return keep.unionByName(g.select(*key, F.col("__text").alias(text), form.alias(out)))
+    done = g.select(*key, F.col("__text").alias(text), "__open", form.alias(out))
+    if known is None:
+        return keep.unionByName(done.drop("__open"))
+
+    def settled(f, t):
+        """The final token ``f`` with the known term for its letters, if that keeps all letters of ``t`` that were Cherokee already."""
+        core = F.regexp_replace(f, f"[^{CHR}]", "")
+        term = F.try_element_at("__known", F.translate(F.upper(core), _SECOND, _FIRST))
+        keeps = F.forall(F.zip_with(F.split(t, ""), F.split(term, ""), lambda x, y: x.isin(*_TWO) | (F.translate(x, "".join(TO_CHR), "".join(TO_CHR.values())) == y)), lambda ok: F.coalesce(ok, F.lit(False)))
+        fits = t.isNotNull() & term.isNotNull() & (F.length(term) == F.length(t)) & keeps & (F.upper(core) == core) & f.contains(core)
+        return F.when(fits, F.replace(f, core, term)).otherwise(f)
+
+    tokens = F.zip_with(F.split(out, r"(?<=[ \n])"), "__open", settled)
+    done = done.crossJoin(F.broadcast(settling(known)))  # one row
+    done = done.withColumn(out, F.when(F.col("__open").isNotNull(), F.array_join(tokens, "")).otherwise(F.col(out)))
+    return keep.unionByName(done.select(*key, text, out))

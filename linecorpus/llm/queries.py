@@ -93,7 +93,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_forms(spark: SparkSession, d: str) -> DataFrame:
-    return forms.canonical_forms(two_fields(spark, d), ["tbl", "row_key"], "text").select("tbl", "row_key", "form")
+    return forms.canonical_forms(two_fields(spark, d), ["tbl", "row_key"], "text", known=table(spark, d, "lexicon")).select("tbl", "row_key", "form")
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:

@@ -60,6 +60,15 @@ def test_known_terms_settle_two_look_alikes():
     assert forms.canonical("WᎻᏊ", {"ᎳᎻᏊ"}) == "ᎳᎻᏊ"
 
 
+def test_spark_settles_like_python(spark):
+    terms = ["ᎳᎻᏊ", "ᏔᏒ", "ᏚᎽᎩ", "ᎡᏒᎡ", "ᎢᎢ"]
+    texts = ["WᎻᏊ", "ᏔᎻᏊ WᎻᏊ, ᎡRE", "ᏔR.", "SYᎩ ᏚYY", "ᎡRᎡ\n(WᎻᏊ)", "W Ꭰ", None, "ᎠK"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    known = spark.createDataFrame([(t, "chr") for t in [*terms, None]], "term string, lang string")
+    for r in forms.canonical_forms(df, ["k"], "text", known=known).collect():
+        assert r["form"] == forms.canonical(r["text"], set(terms)), r
+
+
 def test_form_is_stable():
     for t, _ in CASES:
         assert forms.canonical(forms.canonical(t)) == forms.canonical(t)
