@@ -264,7 +264,7 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form",
 
     toks = F.transform("__toks", lambda t, i: F.struct(F.length(t).alias("n"), script(t, i).alias("s")))
     scripts = F.flatten(F.transform(toks, lambda x: F.array_repeat(x["s"], x["n"])))
-    open_ = F.transform("__toks", lambda t, i: F.when((script(t, i) == "chr") & t.rlike(f"[{_TWO}]"), F.upper(F.regexp_replace(t, f"[^{CHR}{_LOOK}]", ""))))
+    open_ = F.transform("__toks", lambda t, i: F.when((script(t, i) == "chr") & t.rlike(f"[{_TWO}]"), F.regexp_replace(t, f"[^{CHR}{_LOOK}]", "")))
     b = b.withColumn("__open", F.when(F.exists(open_, lambda x: x.isNotNull()), open_) if known is not None else F.lit(None).cast("array<string>"))
     cps = F.arrays_zip(F.split("__text", "").alias("cp"), scripts.alias("s"))
     points = b.select(*key, "__text", "__open", F.posexplode(cps).alias("__pos", "__x")).select(*key, "__text", "__open", "__pos", F.col("__x.cp").alias("__cp"), F.col("__x.s").alias("__s")).where(F.col("__cp") != "")

@@ -61,8 +61,8 @@ def test_known_terms_settle_two_look_alikes():
 
 
 def test_spark_settles_like_python(spark):
-    terms = ["ᎳᎻᏊ", "ᏔᏒ", "ᏚᎽᎩ", "ᎡᏒᎡ", "ᎢᎢ"]
-    texts = ["WᎻᏊ", "ᏔᎻᏊ WᎻᏊ, ᎡRE", "ᏔR.", "SYᎩ ᏚYY", "ᎡRᎡ\n(WᎻᏊ)", "W Ꭰ", None, "ᎠK"]
+    terms = ["ᎳᎻᏊ", "ᏏᎻᏚ", "ᏔᏒ", "ᏚᎽᎩ", "ᎡᏒᎡ", "ᎢᎢ"]
+    texts = ["WᎻᏊ", "bᎻS dᏒ", "ᏔᎻᏊ WᎻᏊ, ᎡRE", "ᏔR.", "SYᎩ ᏚYY", "ᎡRᎡ\n(WᎻᏊ)", "W Ꭰ", None, "ᎠK"]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
     known = spark.createDataFrame([(t, "chr") for t in [*terms, None]], "term string, lang string")
     for r in forms.canonical_forms(df, ["k"], "text", known=known).collect():
