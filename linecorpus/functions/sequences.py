@@ -33,7 +33,11 @@ def align(truth: str, read: str) -> list[tuple[str, str, str]]:
 
     Of equal costs a match is preferred, then a substitution, a deletion, an insertion.
     """
-    t, i, j, out = edit_table(truth, read), len(truth), len(read), []
+    i, j, out = len(truth), len(read), []
+    while i and j and truth[i - 1] == read[j - 1]:  # equal ends always match
+        out.append((truth[i - 1], read[j - 1], "match"))
+        i, j = i - 1, j - 1
+    t = edit_table(truth[:i], read[:j])
     while i or j:
         here = t[i][j]
         if i and j and truth[i - 1] == read[j - 1] and here == t[i - 1][j - 1]:
@@ -53,14 +57,17 @@ def align(truth: str, read: str) -> list[tuple[str, str, str]]:
 
 def lcs_marks(truth: str, read: str) -> list[tuple[str, str, str]]:
     """Longest-common-subsequence difference; where both ways are as long, the insertion comes first (from the end)."""
-    n, m = len(truth), len(read)
+    n, m, out = len(truth), len(read), []
+    while n and m and truth[n - 1] == read[m - 1]:  # equal ends always match
+        out.append((truth[n - 1], read[m - 1], "match"))
+        n, m = n - 1, m - 1
     best = [[0] * (m + 1)]
-    for x in truth:
+    for x in truth[:n]:
         last, row = best[-1], [0]
-        for j, y in enumerate(read):
+        for j, y in enumerate(read[:m]):
             row.append(last[j] + 1 if x == y else max(last[j + 1], row[-1]))
         best.append(row)
-    i, j, out = n, m, []
+    i, j = n, m
     while i or j:
         if i and j and truth[i - 1] == read[j - 1]:
             out.append((truth[i - 1], read[j - 1], "match"))

@@ -174,6 +174,8 @@ def align_verses(verses: DataFrame, lines: DataFrame) -> DataFrame:
     def run(truth: pd.Series, texts: pd.Series) -> pd.Series:
         return pd.Series([align_words((t or "").split(), list(x)) for t, x in zip(truth, texts)])
 
+    # the work grows with the square of a verse, so verses are spread over all cores
+    j = j.repartition(2 * verses.sparkSession.sparkContext.defaultParallelism, "verse_key")
     j = j.withColumn("aligned", run("truth", F.transform("lines", lambda x: x["line_text"])))
     return j.select("verse_key", F.explode(F.arrays_zip("lines", "aligned")).alias("z")).select("verse_key", F.col("z.lines.line_no").alias("line_no"), F.col("z.lines.line_text").alias("line_text"), F.col("z.aligned").alias("aligned"))
 

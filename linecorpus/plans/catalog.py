@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from linecorpus.functions import metrics, sequences, text
 from linecorpus.operators import manifest, search, splits, stats, sweep, verses
-from linecorpus.plans.tables import table
+from linecorpus.plans.tables import spread, table
 from linecorpus.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -373,7 +373,7 @@ def _(s, d):
 
 def confusions(s: SparkSession, d: str) -> DataFrame:
     e = evaluated(s, d).where("algo = 'ftm' and ocr is not null and ocr <> 'Error'")
-    return stats.events_counted(e.select(sequences.alignment(F.col("t"), F.col("r")).alias("events")))
+    return stats.events_counted(spread(e.select("t", "r")).select(sequences.alignment(F.col("t"), F.col("r")).alias("events")))
 
 
 @query("agg08_confusion_counts")
@@ -656,17 +656,15 @@ def _(s, d):
 
 @query("dist06_difference")
 def _(s, d):
-    m = table(s, d, "manifest_w_lang").where("label <> '' and ftm_ocr <> ''")
-    return m.select("ord", F.filter(sequences.difference(F.col("label"), F.col("ftm_ocr")), lambda x: x["op"] != "match").alias("marks")).where("size(marks) > 0")
+    m = table(s, d, "manifest_w_lang").where("label <> '' and ftm_ocr <> '' and label <> ftm_ocr").select("ord", "label", "ftm_ocr")
+    return spread(m).select("ord", F.filter(sequences.difference(F.col("label"), F.col("ftm_ocr")), lambda x: x["op"] != "match").alias("marks")).where("size(marks) > 0")
 
 
 @query("dist07_three_way_vote")
 def _(s, d):
     o = table(s, d, "line_metadata").select("id", F.col("initial_ocr").alias("third"))
     m = table(s, d, "manifest_w_lang").where("label <> '' and initial_ocr <> '' and ftm_ocr <> '' and label <> ftm_ocr").join(o, "id").where("third <> '' and initial_ocr <> third and ftm_ocr <> third")
-    # few rows of much work: spread them
-    m = m.repartition(2 * s.sparkContext.defaultParallelism)
-    return m.select("ord", sequences.majority(F.col("initial_ocr"), F.col("ftm_ocr"), F.col("third")).alias("voted"))
+    return spread(m).select("ord", sequences.majority(F.col("initial_ocr"), F.col("ftm_ocr"), F.col("third")).alias("voted"))
 
 
 @query("dist08_similarity")
@@ -724,7 +722,7 @@ def _(s, d):
     return splits.corrupted(m, "ord", "label")
 
 
-@query("split07_sample_size", "SELECT (n * (1 - 0.4) / 0.4)::BIGINT AS k FROM (SELECT count(*) AS n FROM manifest_w_lang WHERE dataset IS NULL AND label <> '') WHERE false UNION ALL SELECT floor(n * (1 - 0.4) / 0.4)::BIGINT FROM (SELECT count(*) AS n FROM manifest_w_lang WHERE dataset IS NULL AND label <> '')")
+@query("split07_sample_size", "SELECT floor(n * 0.6::DOUBLE / 0.4::DOUBLE)::BIGINT AS k FROM (SELECT count(*) AS n FROM manifest_w_lang WHERE dataset IS NULL AND label <> '')")
 def _(s, d):
     n = table(s, d, "manifest_w_lang").where("dataset is null and label <> ''").agg(F.count(F.lit(1)).alias("n"))
     return n.select(splits.sample_size(F.col("n"), 0.4).cast("long").alias("k"))

@@ -161,14 +161,11 @@ def eval_rows(df: DataFrame, text: str) -> DataFrame:
 
 
 def report_rates(text: Column) -> Column:
-    """Rates of the three blocks of an evaluation report's whole text."""
-
-    def block(title: str, prefix: str, i: int) -> Column:
-        p = rf"{title} \(\d+ lines(?: total)?\):\s+{prefix}Mean CER:\s+([0-9.]+)%\s+{prefix}Mean WER:\s+([0-9.]+)%"
-        return F.regexp_extract(text, p, i).try_cast("double")
-
-    sets = (("Phoenix Test Set", "", "phoenix"), ("CNT Test Set", "", "cnt"), ("Overall Combined Weighted Performance", "Weighted ", "weighted"))
-    return F.struct(*[block(t, p, i).alias(f"{n}_{m}") for t, p, n in sets for i, m in ((1, "cer"), (2, "wer"))])
+    """Blocks of an evaluation report's whole text: an array of title, lines and both mean rates."""
+    block = r"([^\n(]+?) \((\d+) lines(?: total)?\):\s+(?:Weighted )?Mean CER:\s+([0-9.]+)%\s+(?:Weighted )?Mean WER:\s+([0-9.]+)%"
+    part = lambda i: F.regexp_extract_all(text, F.lit(block), F.lit(i))
+    z = F.arrays_zip(part(1).alias("title"), part(2).alias("n"), part(3).alias("c"), part(4).alias("w"))
+    return F.transform(z, lambda x: F.struct(F.trim(x["title"]).alias("title"), x["n"].try_cast("int").alias("lines"), x["c"].try_cast("double").alias("cer"), x["w"].try_cast("double").alias("wer")))
 
 
 def vocabulary_rows(df: DataFrame, text: str, line_no: str) -> DataFrame:
