@@ -306,6 +306,6 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form",
         return F.when(fits, F.replace(f, core, term)).otherwise(f)
 
     tokens = F.zip_with(F.split(out, r"(?<=[ \n])"), "__open", settled)
-    done = done.crossJoin(F.broadcast(settling(known)))  # one row
+    done = done.withColumn("__known", settling(known).scalar())
     done = done.withColumn(out, F.when(F.col("__open").isNotNull(), F.array_join(tokens, "")).otherwise(F.col(out)))
     return keep.unionByName(done.select(*key, text, out))
