@@ -81,7 +81,8 @@ def components(links: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame]:
 
 
 def grouped(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id") -> DataFrame:
-    """``records`` with ``grp``."""
+    """``records`` with ``grp``; a column of that name gives way to it."""
+    records = records.drop("grp")
     comp, _ = components(rescans.select("scan", "same_as"), "scan", "same_as")
     own = F.when(F.col(ident).startswith("cnt_") & F.col(ident).contains("_line_") & F.col(scan).isNull(), F.regexp_replace(ident, r"_line_.*$", "")).otherwise(page_name(F.col(scan), F.col(ident)))
     r = records.withColumn("__own", own)

@@ -19,6 +19,8 @@ import numpy as np
 
 DIMS = 4096
 SIZES = (1, 2, 3, 4)
+#: a longer run of letters is no word but several without spaces: its short n-grams tell enough and are few
+LONG_WORD = 40
 #: words kept per process; then the memory is cleared
 CACHE = 300_000
 
@@ -117,7 +119,7 @@ class Profiles:
     def word(self, word: str) -> np.ndarray:
         """Cosines of one word with every prototype."""
         s = spell(word)
-        gs = grams(s, self.sizes) if s else []
+        gs = grams(s, self.sizes if len(s) <= LONG_WORD else self.sizes[:2]) if s else []
         if not gs:
             return np.zeros(len(self.names), np.float32)
         if len(self.by_gram) > CACHE:

@@ -150,7 +150,8 @@ def languages(df: DataFrame, judge, text: str, segments: bool = True) -> DataFra
     """``df`` with ``language``, ``confidence`` and, if wanted, ``segments`` of column ``text``.
 
     A segment is a stretch of one language: start and end in code points of the
-    text's canonical form.  Other columns pass through Python unread.
+    text's canonical form.  Other columns pass through Python unread; those
+    named like a result give way to it.
     """
     kind = T.StructType([T.StructField("language", T.StringType()), T.StructField("confidence", T.DoubleType())] + ([T.StructField("segments", SEGMENT)] if segments else []))
 
@@ -164,11 +165,13 @@ def languages(df: DataFrame, judge, text: str, segments: bool = True) -> DataFra
         return out
 
     got = df.withColumn("__judged", judged(F.col(text)))
-    return got.select(*df.columns, "__judged.*")
+    return got.select(*[c for c in df.columns if c not in kind.names], "__judged.*")
 
 
 def wrong_labels(df: DataFrame, judge, text: str, recorded: str) -> DataFrame:
     """Rows of ``df`` whose ``recorded`` language is missing or differs from the judged one."""
+    df = df.withColumnRenamed(recorded, "__recorded") if recorded in ("language", "confidence") else df
+    recorded = recorded if recorded in df.columns else "__recorded"
     got = languages(df, judge, text, segments=False)
     named = F.when(F.col(recorded) == "chr", "Cherokee").when(F.col(recorded) == "en", "English").when(F.col(recorded) == "mixed", "Mixed").otherwise(F.col(recorded))
     return got.where(F.col(recorded).isNull() | F.col(recorded).isin(*MISSING) | ~named.eqNullSafe(F.col("language")))

@@ -63,6 +63,8 @@ def marked_terms(df: DataFrame, text: str, rare_below: int = 3, common_above: fl
     ``rare`` is in fewer than ``rare_below`` records, ``common`` in more than
     the share ``common_above`` of them; a term that is both is rare.
     """
-    total = df.where(F.col(text) != "").agg(F.count(F.lit(1)).cast("double")).scalar()
+    total = df.where(F.col(text) != "").agg(F.count(F.lit(1))).scalar()
     c = term_counts(df, text)
-    return c.withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(F.col("records") > F.lit(common_above) * total, "common"))
+    # in whole millionths, so that no share is rounded across the line
+    above = F.col("records") * 1_000_000 > F.lit(round(common_above * 1_000_000)) * total
+    return c.withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(above, "common"))

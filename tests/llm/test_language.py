@@ -52,6 +52,19 @@ def test_columns_and_rows(spark, data, trained):
     assert language.languages(df.where("false"), judge, "text").count() == 0
 
 
+def test_clashing_names(spark, trained):
+    judge = spark.sparkContext.broadcast(trained[0])
+    df = spark.createDataFrame([(1, "the letters of the village", "Cherokee", 0.5)], "segments int, text string, language string, confidence double")
+    assert language.languages(df, judge, "text").first()["language"] == "English"
+    assert language.wrong_labels(df, judge, "text", "language").count() == 1
+
+
+def test_text_without_spaces(trained):
+    judge = trained[0]
+    assert judge.judge("thefarmersandthelettersofthevillage" * 500)[0] == "English"
+    assert judge.judge("tsulehasdinohiyasgawidvgetsadosi" * 500)[0] == "Cherokee"
+
+
 def test_most_recorded_labels_agree(spark, data, trained):
     judge = spark.sparkContext.broadcast(trained[0])
     rows = language_rows(spark, data)
