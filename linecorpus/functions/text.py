@@ -88,6 +88,12 @@ def clean_word(c: Column) -> Column:
     return F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}{CHEROKEE}]", "")
 
 
+def raw_position(raw: Column, n: Column) -> Column:
+    """Characters of ``raw`` up to and with the ``n``-th that :func:`clean_word` keeps; null if it keeps fewer."""
+    kept = F.filter(F.transform(F.split(raw, ""), lambda ch, i: F.struct(ch.alias("ch"), i.alias("i"))), lambda x: clean_word(x["ch"]) != "")
+    return F.get(kept, n - 1)["i"] + 1
+
+
 def strip_signs(c: Column) -> Column:
     return F.btrim(c, F.lit(SIGNS))
 

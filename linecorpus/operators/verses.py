@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linecorpus.functions.text import clean_word, raw_position
+
 _KEEP = re.compile(r"[^\W_]|[Ꭰ-᏿ꭰ-ꮿ]")
 
 
@@ -184,7 +186,9 @@ def missing_spaces(tokens_by_model: DataFrame, words: DataFrame) -> DataFrame:
     """Words of the truth that every model reads as two adjacent tokens.
 
     ``tokens_by_model(verse_key, model, pos, line_no, token, hyphenated)`` and
-    ``words(verse_key, word)``, cleaned.  Per part ``int(0.15 * length)`` edits
+    ``words(verse_key, word)`` as they stand in the truth; tokens and words are
+    compared by their letters and digits, and the split is put into the word as
+    it stands.  Per part ``int(0.15 * length)`` edits
     are allowed; across a line end only if it is not hyphenated.  Per word the
     first cut that all models agree on counts; repeated candidates are given once.
     """
@@ -194,13 +198,17 @@ def missing_spaces(tokens_by_model: DataFrame, words: DataFrame) -> DataFrame:
     pair = tokens_by_model.withColumn("next", F.lead("token").over(w)).withColumn("next_line", F.lead("line_no").over(w))
     pair = pair.where(F.col("next").isNotNull() & ((F.col("line_no") == F.col("next_line")) | ~F.col("hyphenated"))).select("verse_key", "model", "token", "next")
     models = tokens_by_model.select("verse_key", "model").distinct().groupBy("verse_key").agg(F.count(F.lit(1)).alias("models"))
-    cuts = words.where(F.length("word") >= 5).distinct().select("verse_key", "word", F.explode(F.sequence(F.lit(2), F.length("word") - 2)).alias("at"))
-    cuts = cuts.select("verse_key", "word", "at", F.substring("word", F.lit(1), F.col("at")).alias("a"), F.substring("word", F.col("at") + 1, F.length("word")).alias("b"))
+    words = words.select("verse_key", F.col("word").alias("raw"), clean_word(F.col("word")).alias("word"))
+    cuts = words.where(F.length("word") >= 5).distinct().select("verse_key", "raw", "word", F.explode(F.sequence(F.lit(2), F.length("word") - 2)).alias("at"))
+    cuts = cuts.select("verse_key", "raw", "word", "at", F.substring("word", F.lit(1), F.col("at")).alias("a"), F.substring("word", F.col("at") + 1, F.length("word")).alias("b"))
     room = lambda c: (F.length(c) * 0.15).cast("int")
     near = (F.abs(F.length("token") - F.length("a")) <= room("a")) & (F.abs(F.length("next") - F.length("b")) <= room("b"))
     j = cuts.join(pair, "verse_key").where(near).where((F.levenshtein("token", "a") <= room("a")) & (F.levenshtein("next", "b") <= room("b")))
-    agreed = j.groupBy("verse_key", "word", "at", "a", "b").agg(F.count_distinct("model").alias("seen")).join(models, "verse_key").where(F.col("seen") == F.col("models"))
-    return agreed.groupBy("verse_key", "word").agg(F.min(F.struct("at", "a", "b")).alias("m")).select("verse_key", F.col("word").alias("original_word"), F.concat_ws(" ", "m.a", "m.b").alias("suggested_split"))
+    agreed = j.groupBy("verse_key", "raw", "at", "a", "b").agg(F.count_distinct("model").alias("seen")).join(models, "verse_key").where(F.col("seen") == F.col("models"))
+    best = agreed.groupBy("verse_key", "raw").agg(F.min(F.struct("at", "a", "b")).alias("m"))
+    at = raw_position(F.col("raw"), F.col("m.at"))
+    split = F.concat(F.substring("raw", F.lit(1), at), F.lit(" "), F.substring("raw", at + 1, F.length("raw")))
+    return best.select("verse_key", F.col("raw").alias("original_word"), F.coalesce(split, F.concat_ws(" ", "m.a", "m.b")).alias("suggested_split"))
 
 
 def apply_splits(lines: DataFrame, candidates: DataFrame, text: str, key: str = "verse_key") -> DataFrame:

@@ -301,7 +301,7 @@ def _(s, d):
 def _words_of(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Tokens of a verse's lines in two readings, and the words of its truth."""
     v = table(s, d, "verses").where("cherokee is not null").groupBy("verse_key").agg(F.min("cherokee").alias("truth"))
-    words = v.select("verse_key", F.explode(text.tokens(F.col("truth"))).alias("w")).select("verse_key", text.clean_word(F.col("w")).alias("word"))
+    words = v.select("verse_key", F.explode(text.tokens(F.col("truth"))).alias("word"))
     m = manifest.latest(table(s, d, "manifest_w_lang").where("dataset = 'cnt'").select("id", "ord", "label", "ftm_ocr"), "id", "ord")
     m = m.select(F.regexp_extract("id", r"^cnt_\d+_(\d+)_", 1).alias("verse_key"), F.regexp_extract("id", r"_line_(\d+)$", 1).try_cast("int").alias("line_no"), "label", "ftm_ocr")
     r = m.select("verse_key", "line_no", F.explode(F.array(F.struct(F.lit("stock").alias("model"), F.coalesce("label", F.lit("")).alias("t")), F.struct(F.lit("ftm").alias("model"), F.coalesce("ftm_ocr", "label", F.lit("")).alias("t")))).alias("x")).select("verse_key", "line_no", "x.*")

@@ -96,6 +96,11 @@ def test_beam_and_recall(spark):
     assert tuple(search.recall_at(w).first())[:4] == (3, 1, 2, 2)
 
 
+def test_alternatives_keep_their_order_where_equal(spark):
+    df = spark.createDataFrame([([("a", 1.0), ("b", 5.0), ("c", 1.0), ("d", 5.0)],)], "a array<struct<ch:string,conf:double>>")
+    assert [x["ch"] for x in df.select(search.by_confidence(F.col("a")).alias("x")).first()["x"]] == ["b", "d", "a", "c"]
+
+
 def test_phrase_search(spark):
     c = spark.createDataFrame([("1", "big red dog"), ("1", "big red dog"), ("2", "red big dog"), ("3", None), ("4", "")], "id string, candidates string")
     i = search.token_index(c)
@@ -107,6 +112,8 @@ def test_phrase_search(spark):
 
 def test_missing_spaces(spark):
     t = spark.createDataFrame([("v", m, p, l, w, h) for m in ("stock", "ftm") for p, (l, w, h) in enumerate([(0, "abc", False), (0, "defg", False), (1, "x", False)])], "verse_key string, model string, pos int, line_no int, token string, hyphenated boolean")
+    raw = spark.createDataFrame([("v", "“ab-c-defg,")], "verse_key string, word string")
+    assert rows(verses.missing_spaces(t, raw)) == [("v", "“ab-c-defg,", "“ab-c -defg,")]
     w = spark.createDataFrame([("v", "abcdefg"), ("v", "short")], "verse_key string, word string")
     assert rows(verses.missing_spaces(t, w)) == [("v", "abcdefg", "abc defg")]
     lines = spark.createDataFrame([("v", "z abcdefg z"), ("u", "abcdefg")], "verse_key string, label string")
