@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecorpus.llm.forms import CHR, canonical
-from linecorpus.llm.hyper import CACHE, Profiles, spell
+from linecorpus.llm.hyper import CACHE, Profiles
 
 MISSING = ("", "Error", "und")
 #: bound on the labelled lines that the profiles are fitted on, beside the lexicon
