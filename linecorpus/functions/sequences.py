@@ -83,6 +83,8 @@ def lcs_marks(truth: str, read: str) -> list[tuple[str, str, str]]:
 
 #: moves through the cube in order of preference, by which strings they consume
 _MOVES = [(1, 1, 1), (1, 1, 0), (1, 0, 1), (0, 1, 1), (1, 0, 0), (0, 1, 0), (0, 0, 1)]
+#: cells of a plane over all lines of a batch, and bytes of moves kept at once
+_PLANE, _KEPT = 80_000, 48 << 20
 
 
 def vote(a: str, b: str, c: str) -> str:
@@ -91,45 +93,117 @@ def vote(a: str, b: str, c: str) -> str:
     The cost of a place is the number of its letters that disagree with its commonest one;
     a lone letter costs one.
     """
-    s = (a, b, c)
-    shape = tuple(len(x) + 2 for x in s)
-    codes = [np.array([-1 - n, *map(ord, x)], np.int64) for n, x in enumerate(s)]
-    # cell (i, j, k) stands at (i + 1, j + 1, k + 1), so every move stays inside the padded cube
-    cost = np.full(shape, 1 << 20, np.int32)
-    grid = np.indices([n - 1 for n in shape]).reshape(3, -1)
-    total = grid.sum(0)
-    order = np.argsort(total, kind="stable")
-    grid, total = grid[:, order], total[order]
-    flat, strides = cost.reshape(-1), np.array([shape[1] * shape[2], shape[2], 1])
-    at = ((grid + 1) * strides[:, None]).sum(0)
-    x, y, z = (codes[n][grid[n]] for n in range(3))
-    same = np.stack([x == y, x == z, y == z])
-    pair = {(1, 1, 0): ~same[0], (1, 0, 1): ~same[1], (0, 1, 1): ~same[2], (1, 1, 1): 2 - np.minimum(2, same.sum(0))}
-    edges = np.searchsorted(total, np.arange(total[-1] + 2))
-    flat[at[0]] = 0
-    for lo, hi in zip(edges[1:-1], edges[2:]):
-        here = at[lo:hi]
-        best = np.full(hi - lo, 1 << 20, np.int32)
-        for move in _MOVES:
-            price = pair[move][lo:hi] if move in pair else 1
-            np.minimum(best, flat[here - int(strides @ np.array(move))] + price, out=best)
-        flat[here] = best
-
-    def price(chars: list[str]) -> int:
-        return 1 if len(chars) == 1 else len(set(chars)) - 1
-
-    place, out = tuple(map(len, s)), []
-    while place != (0, 0, 0):
-        for move in _MOVES:
-            back = tuple(p - m for p, m in zip(place, move))
-            if min(back) < 0:
-                continue
-            chars = [q[p - 1] for q, p, m in zip(s, place, move) if m]
-            if cost[tuple(p + 1 for p in place)] == cost[tuple(p + 1 for p in back)] + price(chars):
-                out.append(max(chars, key=lambda ch: (chars.count(ch), -chars.index(ch))))
-                place = back
-                break
-    return "".join(reversed(out))
+    return votes([(a, b, c)])[0]
+
+
+def votes(lines: list[tuple[str, str, str]]) -> list[str]:
+    """:func:`vote` of many lines; lines of like length are aligned at once, each distinct one once."""
+    done = {s: s[0] for s in lines if s[0] == s[1] == s[2]}
+    todo = {s for s in lines if s not in done}
+    # most costs fit a byte; those beyond are counted again in wider cells
+    for kind, letters, length in ((np.uint8, 255, None), (np.int16, 16_000, 1500), (np.int32, None, None)):
+        fit = [s for s in todo if (letters is None or len(set("".join(s))) < letters) and (length is None or sum(map(len, s)) < length)]
+        fit.sort(key=lambda s: (max(map(len, s)), *map(len, s)))
+        while fit:
+            size = max(1, _PLANE // (len(fit[-1][0]) + 2) // (len(fit[-1][1]) + 2))
+            fit, batch = fit[:-size], fit[-size:]
+            done.update((s, out) for s, out in zip(batch, _voted(batch, kind)) if out is not None)
+        todo -= done.keys()
+    return [done[s] for s in lines]
+
+
+def _voted(batch: list[tuple[str, str, str]], kind) -> list[str | None]:
+    """Votes of a batch by planes of equal ``i + j + k``; None where the cost does not fit ``kind``.
+
+    A cell holds eight times its cost, and while it is decided the number of the move too: the least is
+    the cheapest move, of equal ones the first.  What costs more than the largest value counts as
+    unreachable, which changes no cell on a way of least cost if the end itself is below.  Moves that
+    would take more than ``_KEPT`` bytes are made again from planes kept at distances.
+    """
+    top = kind({np.uint8: 232, np.int16: 16_000, np.int32: 1 << 28}[kind])
+    n = [max(len(s[x]) for s in batch) for x in range(3)]
+    size, last = len(batch), sum(n)
+    codes = [np.zeros((m, size), kind) for m in n]
+    for at, s in enumerate(batch):
+        names: dict[str, int] = {}
+        for x in range(3):
+            codes[x][: len(s[x]), at] = [names.setdefault(ch, len(names) + 1) for ch in s[x]]
+    # a plane's rows follow each other, each with an unreachable cell before it, so that a move is a flat distance
+    wide, full = (n[1] + 2) * size, (n[0] + 1, n[1] + 2, size)
+    one, two = np.zeros(full, kind), np.zeros(full, kind)
+    one[1:], two[:, 2:] = codes[0][:, None], codes[1][None]
+    differ = ((one != two).astype(kind) * kind(8)).reshape(-1)
+    # the third string backwards, so that a plane's letters d - i - j are one sliding view
+    edge = n[0] + n[1] + 2
+    back = np.zeros((n[2] + 2 * edge, size), kind)
+    back[edge : edge + n[2]] = codes[2][::-1]
+    step = back.strides[0]
+    room = [np.empty(full, kind) for _ in range(4)]
+
+    def sweep(planes: list, lo: int, hi: int, moves=None, ends=None) -> list:
+        """Planes ``lo`` to ``hi - 1`` after the three ``planes`` before; cell (i, j) stands at (i + 1, j + 1) after ``size`` cells."""
+        for d in range(lo, hi):
+            i0, i1 = max(0, d - n[1] - n[2]), min(n[0], d) + 1
+            rows, length, start = slice(i0, i1), (i1 - i0) * wide, size + (i0 + 1) * wide
+            here, up, left, both = (slice(start - x, start - x + length) for x in (0, wide, size, wide + size))
+            p3, p2, p1 = planes
+            best, cand, x, y = (r.reshape(-1)[:length] for r in room)
+            third = np.lib.stride_tricks.as_strided(back[edge + n[2] - d + i0 - 1 :], (i1 - i0, *full[1:]), (step, step, back.strides[1]))
+            for letters, out in ((one, x), (two, y)):
+                # bytes take the comparison without a cast
+                out = out.reshape(third.shape)
+                np.not_equal(letters[rows], third, out=out.view(np.bool_) if kind is np.uint8 else out, casting="unsafe")
+            x *= kind(8)
+            y *= kind(8)
+            z = differ[i0 * wide : i1 * wide]
+            np.add(x, y, out=best)
+            best += z
+            np.maximum(best, kind(8), out=best)
+            best -= kind(8)
+            best += p3[both]
+            for number, plane, at, price in ((1, p2, both, z), (2, p2, up, x), (3, p2, left, y), (4, p1, up, None), (5, p1, left, None), (6, p1, here, None)):
+                np.add(plane[at], kind(number + (8 if price is None else 0)), out=cand)
+                if price is not None:
+                    cand += price
+                np.minimum(best, cand, out=best)
+            new = p3  # no longer needed once read
+            np.bitwise_and(best, kind(7), out=cand)
+            if moves is not None:
+                moves[d - lo].reshape(-1)[i0 * wide : i1 * wide] = cand
+            best -= cand
+            np.minimum(best, top, out=new[here])
+            new[here].reshape(third.shape)[:, 0] = top
+            planes = [p2, p1, new]
+            for at in (ends or {}).get(d, ()):
+                i, j = map(len, batch[at][:2])
+                fits[at] = new[size + (i + 1) * wide + (j + 1) * size + at] < top
+        return planes
+
+    planes = [np.full(size + (n[0] + 2) * wide, top, kind) for _ in range(3)]
+    planes[2][2 * size + wide : 3 * size + wide] = 0
+    fits, ends = [True] * size, {}
+    for at, s in enumerate(batch):
+        ends.setdefault(sum(map(len, s)), []).append(at)
+    bytes_ = (n[0] + 1) * wide
+    block = last if last * bytes_ <= _KEPT else int(np.sqrt(last)) + 1
+    starts = list(range(1, last + 1, max(1, block)))
+    kept, moves = [], np.empty((block, *full), np.uint8)
+    for lo in starts:
+        kept.append([p.copy() for p in planes] if len(starts) > 1 else None)
+        planes = sweep(planes, lo, min(lo + block, last + 1), moves if len(starts) == 1 else None, ends)
+    place, out = [tuple(map(len, s)) for s in batch], [[] for _ in batch]
+    for lo in reversed(starts):
+        if len(starts) > 1:
+            sweep(kept.pop(), lo, min(lo + block, last + 1), moves)
+        for at, (a, b, c) in enumerate(batch):
+            i, j, k = place[at]
+            while fits[at] and i + j + k >= lo:
+                di, dj, dk = _MOVES[moves.item(i + j + k - lo, i, j + 1, at)]
+                chars = a[i - di : i] + b[j - dj : j] + c[k - dk : k]
+                out[at].append(chars[1] if len(chars) == 3 and chars[1] == chars[2] else chars[0])
+                i, j, k = i - di, j - dj, k - dk
+            place[at] = i, j, k
+    return ["".join(reversed(o)) if ok else None for o, ok in zip(out, fits)]
 
 
 def _twice(col_a: pd.Series, col_b: pd.Series, f) -> pd.Series:
@@ -160,7 +234,7 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def _vote(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-    return pd.Series([vote(x or "", y or "", z or "") for x, y, z in zip(a, b, c)])
+    return pd.Series(votes([(x or "", y or "", z or "") for x, y, z in zip(a, b, c)]))
 
 
 def alignment(truth: Column, read: Column) -> Column:
@@ -177,7 +251,7 @@ def ratio(a: Column, b: Column) -> Column:
     return _ratio(a, b)
 
 
-def majority(a: Column, b: Column, c: Column, longest: int = 120) -> Column:
-    """Three-way vote; cubic, so a line with a reading above ``longest`` keeps its first reading."""
-    ok = (F.length(F.coalesce(a, F.lit(""))) <= longest) & (F.length(F.coalesce(b, F.lit(""))) <= longest) & (F.length(F.coalesce(c, F.lit(""))) <= longest)
-    return F.when(ok, _vote(F.when(ok, a), F.when(ok, b), F.when(ok, c))).otherwise(a)
+def majority(a: Column, b: Column, c: Column) -> Column:
+    """Three-way vote of lines of any length; three equal readings are their own vote."""
+    same = F.coalesce((a == b) & (a == c), F.lit(False))
+    return F.when(same, a).otherwise(_vote(F.when(~same, a), F.when(~same, b), F.when(~same, c)))

@@ -660,11 +660,23 @@ def _(s, d):
     return spread(m).select("ord", F.filter(sequences.difference(F.col("label"), F.col("ftm_ocr")), lambda x: x["op"] != "match").alias("marks")).where("size(marks) > 0")
 
 
+def voted(s: SparkSession, d: str) -> DataFrame:
+    """Every line with three readings, empty ones too, and its vote; rates of the first reading and of the vote where there is a truth."""
+    o = table(s, d, "line_metadata").select("id", F.col("initial_ocr").alias("third"))
+    m = table(s, d, "manifest_w_lang").select("id", "ord", "label", "initial_ocr", "ftm_ocr").join(o, "id").where("initial_ocr is not null and ftm_ocr is not null and third is not null")
+    v = spread(m).select("ord", "label", "initial_ocr", sequences.majority(F.col("initial_ocr"), F.col("ftm_ocr"), F.col("third")).alias("voted"))
+    rate = lambda c: F.when(F.col("label") != "", metrics.cer(F.col("label"), F.col(c)))
+    return v.select("ord", "voted", rate("initial_ocr").alias("base_cer"), rate("voted").alias("ensemble_cer"))
+
+
 @query("dist07_three_way_vote")
 def _(s, d):
-    o = table(s, d, "line_metadata").select("id", F.col("initial_ocr").alias("third"))
-    m = table(s, d, "manifest_w_lang").where("label <> '' and initial_ocr <> '' and ftm_ocr <> '' and label <> ftm_ocr").join(o, "id").where("third <> '' and initial_ocr <> third and ftm_ocr <> third")
-    return spread(m).select("ord", sequences.majority(F.col("initial_ocr"), F.col("ftm_ocr"), F.col("third")).alias("voted"))
+    return voted(s, d).select("ord", "voted", F.round("base_cer", 6).alias("base_cer"), F.round("ensemble_cer", 6).alias("ensemble_cer"))
+
+
+@query("run15_ensemble_rates")
+def _(s, d):
+    return voted(s, d).agg(F.count("base_cer").alias("n"), F.round(F.avg("base_cer"), 6).alias("base_cer"), F.round(F.avg("ensemble_cer"), 6).alias("ensemble_cer"))
 
 
 @query("dist08_similarity")
