@@ -777,6 +777,12 @@ def _(s, d):
     return m.orderBy(splits.hash_order(F.col("id"), 42), "id").limit(100)
 
 
+@query("split14_shuffled_all", "SELECT id, row_number() OVER (ORDER BY md5(concat(id, ':42')), id) AS rank FROM (SELECT DISTINCT id FROM manifest_w_lang WHERE label <> '')")
+def _(s, d):
+    m = table(s, d, "manifest_w_lang").where("label <> ''").select("id").distinct()
+    return splits.numbered_by_hash(m, "id", 42)
+
+
 # nested, sources, sinks, geometry, runs ---------------------------------------------------
 
 

@@ -58,3 +58,12 @@ def test_every_line_with_three_readings_is_voted(spark, data):
     assert rates["n"] == len(known)
     for c in ("base_cer", "ensemble_cer"):
         assert rates[c] == pytest.approx(sum(r[c] for r in known) / len(known), abs=1e-4)
+
+
+@pytest.mark.parametrize(("name", "source", "groups"), [("split14_shuffled_all", "SELECT DISTINCT id FROM m WHERE label <> ''", 1)])
+def test_no_row_is_cut(spark, data, name, source, groups):
+    for view, t in (("m", "manifest_w_lang"), ("u", "uploads")):
+        spark.read.parquet(f"{data}/{t}.parquet").createOrReplaceTempView(view)
+    n = spark.sql(source).count()
+    ranks = sorted(r["rank"] for r in catalog.queries()[name](spark, data).select("rank").collect())
+    assert ranks == sorted([*range(1, n + 1)] * groups)
