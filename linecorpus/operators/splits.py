@@ -25,6 +25,12 @@ def numbered(df: DataFrame, order: str, name: str = "rn0", start: int = 0) -> Da
     """
     rest = [c for c in df.columns if c != order and not isinstance(df.schema[c].dataType, (type(None),))]
     ordered = df.repartitionByRange(F.col(order), *[F.col(c) for c in rest[:1]]).sortWithinPartitions(order, *rest[:1])
+    return placed(ordered, name, start)
+
+
+def placed(ordered: DataFrame, name: str = "rank", start: int = 1) -> DataFrame:
+    """Rows that are in order over their partitions, numbered from ``start``."""
+    columns = ordered.columns
     ordered = ordered.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
     # the identifier's lower 33 bits count rows within a partition
     ordered = ordered.withColumn("__i", F.col("__m").bitwiseAND((1 << 33) - 1))
@@ -36,9 +42,9 @@ def numbered(df: DataFrame, order: str, name: str = "rn0", start: int = 0) -> Da
     for p in sorted(counts):
         offsets.append((p, at))
         at += counts[p]
-    spark = df.sparkSession
+    spark = ordered.sparkSession
     offs = spark.createDataFrame(offsets, "__p int, __off long")
-    return ordered.join(F.broadcast(offs), "__p").select(*df.columns, (F.col("__off") + F.col("__i")).alias(name))
+    return ordered.join(F.broadcast(offs), "__p").select(*columns, (F.col("__off") + F.col("__i")).alias(name))
 
 
 def accumulator_tests(n: int, ratio: float) -> list[int]:

@@ -116,13 +116,13 @@ ORDERS = {
     "cer_asc": lambda: [F.asc_nulls_last("cer"), F.asc("id")],
     "conf_asc": lambda: [F.asc_nulls_last("ftm_confidence"), F.asc("id")],
     "conf_desc": lambda: [F.desc_nulls_last("ftm_confidence"), F.asc("id")],
-    "verse": lambda: [F.asc("id")],
+    "verse": lambda: [F.regexp_extract("id", r"^cnt_\d+_(\d+)_", 1), F.regexp_extract("id", r"_line_(\d+)$", 1).try_cast("int"), F.asc("id")],
 }
 
 
-def ordered(df: DataFrame, by: str) -> DataFrame:
-    """One of the five orders of the line viewer."""
-    return df.orderBy(*ORDERS[by]())
+def ordered(df: DataFrame, by: str, *ties: str) -> DataFrame:
+    """One of the five orders of the line viewer; rows of one id by ``ties``."""
+    return df.orderBy(*ORDERS[by](), *ties)
 
 
 def best_run(df: DataFrame, metric: str, order: str, lowest: bool = True) -> DataFrame:

@@ -505,6 +505,12 @@ def _(s, d):
     return table(s, d, "uploads").orderBy(F.desc_nulls_last("uploaded_at"), "id").select("id", "original_filename").limit(50)
 
 
+@query("top05_all_newest_first", "SELECT id, original_filename, row_number() OVER (ORDER BY uploaded_at DESC NULLS LAST, id, original_filename) AS rank FROM uploads")
+def _(s, d):
+    u = table(s, d, "uploads").orderBy(F.desc_nulls_last("uploaded_at"), "id", "original_filename").select("id", "original_filename")
+    return splits.placed(u)
+
+
 @query("top07_rare_characters", f"""WITH c AS (SELECT ch, count(*) AS n, min(ord) AS first_ord FROM (SELECT ord, unnest(regexp_extract_all({_norm('label')}, '{_CHRW}')) AS ch FROM manifest_w_lang WHERE status = 'labeled') GROUP BY ch)
     SELECT * FROM (SELECT ch, n, first_ord, row_number() OVER (ORDER BY n, first_ord, ch)::INT AS rank FROM c) WHERE rank <= greatest(1, floor((SELECT count(*) FROM c) / 5))""")
 def _(s, d):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linecorpus.functions import metrics, sequences, text
 from linecorpus.operators import images, search, splits, stats, sweep, verses
-from linecorpus.plans.catalog import _CHR, _EVAL_SQL, _TOK, confusions, evaluated, features, query
+from linecorpus.plans.catalog import _CHR, _EVAL_SQL, _TOK, _chars, _lev, confusions, evaluated, features, query
 from linecorpus.plans.tables import spread, table
 from linecorpus.sources import readers, sinks
 
@@ -74,6 +77,21 @@ def _(s, d):
     return m.orderBy(*stats.ORDERS["conf_asc"](), "ord").limit(25).select("ord", "ftm_confidence")
 
 
+_VERSE = "regexp_extract(id, '^cnt_\\d+_(\\d+)_', 1), try_cast(regexp_extract(id, '_line_(\\d+)$', 1) AS INT) NULLS FIRST, id"
+_VIEWER = {"cer_desc": "cer DESC NULLS LAST, id", "cer_asc": "cer NULLS LAST, id", "conf_asc": "ftm_confidence NULLS LAST, id", "conf_desc": "ftm_confidence DESC NULLS LAST, id", "verse": _VERSE}
+
+
+@query(
+    "top06_all_viewer_orders",
+    f"WITH c AS (SELECT *, {_chars('label')} AS a, {_chars("coalesce(ftm_ocr, '')")} AS b FROM manifest_w_lang), e AS (SELECT ord, id, ftm_confidence, CASE WHEN label <> '' THEN round(100.0 * {_lev('a', 'b')} / greatest(1, len(a)), 2) END AS cer FROM c) "
+    + " UNION ALL ".join(f"SELECT '{k}' AS by, ord, row_number() OVER (ORDER BY {o}, ord) AS rank FROM e" for k, o in _VIEWER.items()),
+)
+def _(s, d):
+    m = table(s, d, "manifest_w_lang").select("ord", "id", "ftm_confidence", F.when(F.col("label") != "", metrics.viewer_cer(F.col("label"), F.col("ftm_ocr"))).alias("cer"))
+    parts = [splits.placed(stats.ordered(m, by, "ord").select(F.lit(by).alias("by"), "ord")) for by in stats.ORDERS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("top09_first_existing", "SELECT id FROM line_metadata WHERE image_path IN (SELECT image_path FROM manifest_w_lang WHERE label <> '') ORDER BY id LIMIT 20")
 def _(s, d):
     have = table(s, d, "manifest_w_lang").where("label <> ''").select("image_path")

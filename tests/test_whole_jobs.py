@@ -60,10 +60,17 @@ def test_every_line_with_three_readings_is_voted(spark, data):
         assert rates[c] == pytest.approx(sum(r[c] for r in known) / len(known), abs=1e-4)
 
 
-@pytest.mark.parametrize(("name", "source", "groups"), [("split14_shuffled_all", "SELECT DISTINCT id FROM m WHERE label <> ''", 1)])
+@pytest.mark.parametrize(("name", "source", "groups"), [("split14_shuffled_all", "SELECT DISTINCT id FROM m WHERE label <> ''", 1), ("top05_all_newest_first", "SELECT id FROM u", 1), ("top06_all_viewer_orders", "SELECT ord FROM m", 5)])
 def test_no_row_is_cut(spark, data, name, source, groups):
     for view, t in (("m", "manifest_w_lang"), ("u", "uploads")):
         spark.read.parquet(f"{data}/{t}.parquet").createOrReplaceTempView(view)
     n = spark.sql(source).count()
     ranks = sorted(r["rank"] for r in catalog.queries()[name](spark, data).select("rank").collect())
     assert ranks == sorted([*range(1, n + 1)] * groups)
+
+
+def test_verse_order_reads_line_numbers_as_numbers(spark):
+    from linecorpus.operators import splits, stats
+
+    df = spark.createDataFrame([("cnt_01_010101_line_10", 1), ("cnt_01_010101_line_2", 2)], "id string, ord int")
+    assert [r["ord"] for r in splits.placed(stats.ordered(df, "verse", "ord")).orderBy("rank").collect()] == [2, 1]
