@@ -91,12 +91,15 @@ def mark_classes() -> dict[str, int]:
 
 
 _LOOK = "".join(LOOKS_CHEROKEE)
-_WHOLE = rf"(?:^|[ \n])[^A-Za-z0-9{CHR} \n]*(?=[46]*[A-Zbdhi])[{_LOOK}]+[^A-Za-z0-9{CHR} \n]*(?:$|[ \n])"
+_OTHER = "".join(c for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" if c not in LOOKS_CHEROKEE)
+_WHOLE = rf"(?:^|[ \n])[^A-Za-z0-35789{CHR} \n]*[{_LOOK.strip('46')}][^{_OTHER}{CHR} \n]*(?:$|[ \n])"
 
 
 #: Characters that never change on their own; anything else makes a text worth a look.
 _SAFE = rf"\t\n\r -~{CHR}À-ÿ§¬–—‘’“”…•°£¢©«»¡¿¶†‡"
-_SPECIAL = rf"[^{_SAFE}]|[{CHR}][{_LOOK}]|[{_LOOK}][{CHR}]"
+#: between a Cherokee letter and the next Latin one of its token; any Latin letter decides the token's script
+_BETWEEN = rf"[^A-Za-z46{CHR} \n]*"
+_SPECIAL = rf"[^{_SAFE}]|[{CHR}]{_BETWEEN}[A-Za-z46]|[A-Za-z46]{_BETWEEN}[{CHR}]"
 #: A text that no part of this matches is its own canonical form (Java and Python read it alike).
 SUSPECT = f"{_SPECIAL}|{_WHOLE}"
 _SUSPECT = re.compile(SUSPECT)
