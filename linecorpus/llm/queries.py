@@ -34,8 +34,9 @@ def _judge(spark: SparkSession, d: str):
     return language.fitted(spark, table(spark, d, "lexicon"), table(spark, d, "lang_samples"))
 
 
-def _reader(spark: SparkSession, d: str, context: bool = False):
-    return repair.fitted(spark, table(spark, d, "lexicon"), table(spark, d, "documents"), two_fields(spark, d), "text", context)
+def _reader(spark: SparkSession, d: str):
+    readings = table(spark, d, "manifest_w_lang").select("label", "initial_ocr", "ftm_ocr")
+    return repair.fitted(spark, table(spark, d, "lexicon"), table(spark, d, "documents"), two_fields(spark, d), "text", readings)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -84,7 +85,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    return repair.paragraphs(two_fields(spark, d), _reader(spark, d, context=True), "text")
+    return repair.paragraphs(two_fields(spark, d), _reader(spark, d), "text", table(spark, d, "documents"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
