@@ -69,7 +69,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "manifest_w_lang")
     source = F.coalesce(grouping.page_name(F.col("source_scan"), F.lit(None).cast("string")), F.col("dataset"), F.lit("none"))
-    return overlap.overlap_report(overlap.cross_split_pairs(m), m.select("ord", "split", source.alias("source")))
+    return overlap.overlap_report(m.select("ord", "split", "label", source.alias("source")), "source")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

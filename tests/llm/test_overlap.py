@@ -70,12 +70,64 @@ def test_empty_table(spark):
 
 
 def test_report(spark):
-    a = "one two three four five six seven"
-    rows = [(1, "train", a), (2, "test", a), (3, "test", a + "x")]
-    p = overlap.cross_split_pairs(spark.createDataFrame(rows, "ord long, split string, label string"))
-    src = spark.createDataFrame([(1, "train", "s"), (2, "test", "s"), (3, "test", "t")], "ord long, split string, source string")
-    got = {(r["split"], r["source"]): (r["rows"], r["exact_rows"], r["links"]) for r in overlap.overlap_report(p, src).collect()}
-    assert got == {("train", "s"): (1, 1, 2), ("test", "s"): (1, 1, 1), ("test", "t"): (1, 0, 1)}
+    a, b = "one two three four five six seven", "quite another line of many words here"
+    rows = [(1, "train", a, "s"), (2, "test", a, "s"), (3, "test", a + "x", "t"), (4, "test", a, "s"), (5, "train", b, None), (6, "test", "short", "s"), (7, None, a, "s")]
+    df = spark.createDataFrame(rows, "ord long, split string, label string, source string")
+    got = {(r["split"], r["source"]): (r["rows"], r["linked_rows"], r["exact_rows"], r["links"]) for r in overlap.overlap_report(df, "source").collect()}
+    assert got == {("train", "s"): (1, 1, 1, 3), ("test", "s"): (2, 2, 2, 2), ("test", "t"): (1, 1, 0, 1), ("train", None): (1, 0, 0, 0)}
+    assert overlap.overlap_report(df.where("false"), "source").count() == 0
+
+
+def test_report_counts_what_the_pairs_are(spark):
+    rng = random.Random(5)
+    bases = ["".join(rng.choices("abcdefgh", k=40)) for _ in range(12)]
+    rows = [(i, rng.choice(["train", "test"]), noisy(rng, rng.choice(bases), rng.randint(0, 4)), rng.choice("xyz")) for i in range(150)]
+    df = spark.createDataFrame(rows, "ord long, split string, label string, source string")
+    found = pairs(spark, [r[:3] for r in rows])
+    want: dict = {}
+    for o, s, _, src in rows:
+        want[s, src] = want.get((s, src), 0) + sum(o in k for k in found)
+    assert {(r["split"], r["source"]): r["links"] for r in overlap.overlap_report(df, "source").collect()} == want
+    texts = overlap.classes(overlap.normalised(df))
+    for exact in (True, False):
+        assert sorted(map(tuple, overlap.candidates(texts, exact, hot=1).collect())) == sorted(map(tuple, overlap.candidates(texts, exact).collect()))
+
+
+def test_content_chunks():
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefgh", k=k)) for k in (0, 1, 3, 4, 50, 400)]
+    h, row, place, size = overlap.content_chunks(texts)
+    for i, t in enumerate(texts):
+        mine = row == i
+        assert size[mine].sum() == len(t) and place[mine].tolist() == [0, *np.cumsum(size[mine])[:-1].tolist()][: mine.sum()]
+        # each text alone gives the same chunks, so cuts depend on content only
+        assert overlap.content_chunks([t])[0].tolist() == h[mine].tolist()
+    named: dict = {}
+    for d, r, p, n in zip(h.tolist(), row.tolist(), place.tolist(), size.tolist()):
+        assert named.setdefault(d, texts[r][p : p + n]) == texts[r][p : p + n]
+    # letters put in front change the first chunks only
+    tail = set(overlap.content_chunks(["xyzxy" + texts[5]])[0].tolist())
+    kept = size[row == 5][[d in tail for d in h[row == 5].tolist()]].sum()
+    assert kept > 0.9 * len(texts[5]) and 4 < size[row == 5].mean() < 12
+
+
+def test_the_first_join_finds_what_shares_half_its_chunks(spark):
+    rng = random.Random(8)
+    rows, n = [], 0
+    for _ in range(60):
+        base = "".join(rng.choices("abcdefgh", k=rng.randint(40, 120)))
+        for s in ("train", "test"):
+            n += 1
+            rows.append((n, s, noisy(rng, base, rng.randint(0, 3))))
+    texts = overlap.classes(overlap.normalised(spark.createDataFrame(rows, "ord long, split string, label string"))).collect()
+    df = spark.createDataFrame(texts, "d binary, norm string, n_test long, n_train long, tid long")
+    got = {tuple(r) for r in overlap.candidates(df, False).collect()}
+    both = [(a, b) for a in texts for b in texts if a["n_test"] and b["n_train"] and a["tid"] != b["tid"] and abs(len(a["norm"]) - len(b["norm"])) * 8 <= max(len(a["norm"]), len(b["norm"]))]
+    import pandas as pd
+
+    share = overlap.shared_share.func(pd.Series([a["norm"] for a, _ in both]), pd.Series([b["norm"] for _, b in both]))
+    want = {(a["tid"], b["tid"]) for (a, b), x in zip(both, share) if x >= overlap.SHARE}
+    assert len(want) > 20 and want <= got
 
 
 def test_windows():
