@@ -3,15 +3,16 @@
 Two equal implementations share the tables of this module:
 
 * :func:`canonical_forms`, the operator: texts that can change are exploded to
-  positioned code points, joined with broadcast tables of decompositions and
-  look-alikes, ordered by combining class, recomposed and rebuilt;
+  positioned code points, joined with a broadcast table of decompositions and
+  look-alikes, marks ordered by combining class, recomposed and rebuilt;
 * :func:`canonical`, the same for one Python string, for operators that
   already run in Python.
 
 Null stays null, an empty text stays empty, letter case, Cherokee small
 letters, runs of plain spaces, line breaks and lines in two languages stay as
 they are.  All tables are fixed by Unicode or listed here, so their size does
-not depend on the data.
+not depend on the data.  A text in which nothing is another form of a usual
+character comes out in Unicode's form NFC.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 CHR = "Ꭰ-Ᏽᏸ-ᏽꭰ-ꮿ"
 
@@ -40,6 +41,10 @@ LOOKS_LATIN = {
     "с": "c", "у": "y", "х": "x", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
     "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ι": "i", "α": "a", "ρ": "p", "υ": "u",
+    "Օ": "O", "Ս": "U", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N",
+    "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    "ɑ": "a", "ɡ": "g", "ı": "i", "ȷ": "j",
 }
 # Hyphens of unusual kind.  Dashes (U+2013, U+2014) are not hyphens.
 HYPHENS = "‐‑‒−﹘﹣－"
@@ -48,35 +53,40 @@ LATIN_OF = {c[0]: k for k, c in LOOKS_CHEROKEE.items() if k.isupper()} | {c[1]:
 TO_CHR = {k: c[0] for k, c in LOOKS_CHEROKEE.items()}
 
 
+#: kinds of compatibility form that are the usual characters in other dress, whatever their category
+_DRESS = ("wide", "narrow", "small", "font", "noBreak", "vertical", "initial", "medial", "final", "isolated")
+
+
 @lru_cache(maxsize=1)
 def plain_map() -> dict[str, str]:
-    """Code points that are only another form of usual ones, whatever word they stand in."""
+    """Code points that are only another form of usual ones, whatever word they stand in, in form NFC."""
     out: dict[str, str] = {}
-    for cp in [*range(0x80, 0xD800), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800)]:
+    for cp in [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xF900, 0x20000), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)]:
         ch = chr(cp)
         cat = unicodedata.category(ch)
+        dec = unicodedata.decomposition(ch)
+        kind = dec[1:].split(">")[0] if dec[:1] == "<" else "canonical"
+        whole = unicodedata.normalize("NFKC", ch)
         if ch in HYPHENS:
             out[ch] = "-"
         elif cat == "Zs":
             out[ch] = " "
-        elif cat == "Cf" or cp == 0x34F or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180D:
+        elif cat == "Cf" or cp == 0x34F or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180D or 0xE0100 <= cp <= 0xE01EF:
             out[ch] = ""
         elif ch in LOOKS_LATIN:
             out[ch] = LOOKS_LATIN[ch]
-        elif dec := unicodedata.decomposition(ch):
-            kind = dec.split(">")[0][1:] if dec[0] == "<" else "canonical"
-            if kind in ("wide", "narrow", "font", "noBreak") or (kind == "compat" and cat in ("Ll", "Lu", "Lo")):
-                out[ch] = unicodedata.normalize("NFKC", ch)
-            elif kind == "canonical" and (nfc := unicodedata.normalize("NFC", ch)) != ch:
-                out[ch] = nfc
+        elif not dec or kind == "canonical":
+            out[ch] = unicodedata.normalize("NFC", ch)
+        elif (kind in _DRESS or (kind != "fraction" and (cat[0] in "LN" or cat == "So"))) and whole[0] != " " and "\u2044" not in whole:
+            out[ch] = whole
     return {k: v for k, v in out.items() if v != k}
 
 
 @lru_cache(maxsize=1)
 def pair_map() -> dict[str, str]:
-    """Letter and accent to the single letter, for all canonical pairs that compose."""
+    """A character and the next one to the single character, for all canonical pairs that compose; Hangul goes by arithmetic."""
     out = {}
-    for cp in range(0xC0, 0x2000):
+    for cp in [*range(0xC0, 0xAC00), *range(0xF900, 0x20000)]:
         dec = unicodedata.decomposition(chr(cp))
         if dec and dec[0] != "<" and " " in dec:
             pair = "".join(chr(int(x, 16)) for x in dec.split())
@@ -87,7 +97,25 @@ def pair_map() -> dict[str, str]:
 
 @lru_cache(maxsize=1)
 def mark_classes() -> dict[str, int]:
-    return {chr(cp): unicodedata.combining(chr(cp)) for cp in [*range(0x300, 0x370), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x20F1)] if unicodedata.combining(chr(cp))}
+    """Combining class of every mark that has one."""
+    return {chr(cp): c for cp in [*range(0x300, 0xAC00), *range(0xF900, 0x20000)] if (c := unicodedata.combining(chr(cp)))}
+
+
+@lru_cache(maxsize=1)
+def followers() -> str:
+    """Marks, and letters that can compose with the one before: a character and those after it are one cluster."""
+    return "".join(sorted({*mark_classes(), *(p[-1] for p in pair_map()), *map(chr, range(0x1161, 0x1176)), *map(chr, range(0x11A8, 0x11C3))}))
+
+
+def _ranges(chars: str) -> str:
+    """The inside of a character class."""
+    cps, out = sorted(map(ord, chars)), []
+    for c in cps:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in out)
 
 
 _LOOK = "".join(LOOKS_CHEROKEE)
@@ -111,7 +139,7 @@ _LATIN = re.compile("[A-Za-z]")
 
 
 #: combining marks; a Latin letter with one is not a plain letter that could look like another
-_MARKS = "\u0300-\u034e\u0350-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20f0"
+_MARKS = _ranges("".join(mark_classes()))
 _ACCENTED = f"[A-Za-z][{_MARKS}]+"
 _DROP_ACCENTED = re.compile(_ACCENTED)
 
@@ -142,25 +170,6 @@ def _script(tok: str, prev: str, nxt: str, first: bool, last: bool) -> str:
     return "none"
 
 
-def _recompose(tok: str) -> str:
-    marks = mark_classes()
-    if not any(x in marks for x in tok):
-        return tok
-    pairs, out, run = pair_map(), "", []
-
-    def close(out: str, run: list[str]) -> str:
-        for m in sorted(run, key=marks.__getitem__):
-            out = out[:-1] + pairs[out[-1] + m] if out and out[-1] + m in pairs else out + m
-        return out
-
-    for x in tok:
-        if x in marks:
-            run.append(x)
-        else:
-            out, run = close(out, run) + x, []
-    return close(out, run)
-
-
 def canonical(text: str | None, known=None) -> str | None:
     """The one form of ``text``; ``known`` (a set of terms) settles letters with two look-alikes."""
     if not text:
@@ -176,50 +185,115 @@ def canonical(text: str | None, known=None) -> str | None:
     for i, tok in enumerate(toks):
         s = _script(tok, toks[i - 1] if i else "", toks[i + 1] if i + 1 < len(toks) else "", i == 0, i == len(toks) - 1)
         if s == "chr":
-            done = "".join(TO_CHR.get(x, x) for x in tok)
+            done = _put(tok, TO_CHR)
             tok = _settle(tok, done, known) if known is not None else done
         elif s == "lat":
-            tok = "".join(LATIN_OF.get(x, x) for x in tok)
-        out.append(_recompose(tok))
-    return "".join(out)
+            tok = _put(tok, LATIN_OF)
+        out.append(tok)
+    return unicodedata.normalize("NFC", "".join(out))
+
+
+def _put(tok: str, by: dict[str, str]) -> str:
+    """``tok`` with its letters mapped, but for those that carry a mark."""
+    marks = mark_classes()
+    return "".join(x if y in marks else by.get(x, x) for x, y in zip(tok, tok[1:] + " "))
+
+
+_terms: dict[int, tuple] = {}
+
+
+def _by_letters(known) -> dict[str, list[str]]:
+    """Terms by their Cherokee letters, second look-alikes as first ones; made once per set of terms."""
+    if id(known) not in _terms:
+        _terms.clear()
+        by: dict[str, set[str]] = {}
+        for t in known:
+            up = _NO_CHR.sub("", t.upper())
+            if any(x in _FIRST + _SECOND for x in up):
+                by.setdefault(up.translate(_TO_FIRST), set()).add(up)
+        _terms[id(known)] = known, {k: sorted(v, key=_order) for k, v in by.items()}
+    return _terms[id(known)][1]
+
+
+def _order(term: str) -> str:
+    return term.translate(str.maketrans(_FIRST + _SECOND, "0" * len(_FIRST) + "1" * len(_SECOND)))
 
 
 def _settle(tok: str, done: str, known) -> str:
-    """Of the readings of a token's ambiguous look-alikes, the first that is a known term."""
-    readings = [""]
-    for x in tok:
-        c = LOOKS_CHEROKEE.get(x, x)
-        readings = [r + y for r in readings for y in c][:64]
-    for r in readings:
-        if re.sub(f"[^{CHR}]", "", r).upper() in known:
-            return r
+    """``done`` with the first known term for its letters that keeps all letters of ``tok`` that were Cherokee already."""
+    core = _NO_CHR.sub("", done)
+    if not any(x in _TWO for x in tok) or core.upper() != core or core not in done:
+        return done
+    seen = "".join(x for x in tok if x in LOOKS_CHEROKEE or _CHR_LETTER.match(x))
+    for term in _by_letters(known).get(core.translate(_TO_FIRST), ()):
+        if len(term) == len(seen) and all(x in _TWO or TO_CHR.get(x, x) == y for x, y in zip(seen, term)):
+            return done.replace(core, term)
     return done
 
 
 def tables(spark: SparkSession) -> DataFrame:
-    """``(cp, plain, to_chr, to_lat, ccc)``: the fixed mapping of single code points."""
+    """``(cp, plain, to_chr, to_lat, dec)``: the fixed mapping of single code points; ``dec`` are the full decomposition's code points with their classes."""
     plain, marks = plain_map(), mark_classes()
-    keys = sorted({*plain, *marks, *LOOKS_CHEROKEE, *LATIN_OF})
-    rows = [(k, plain.get(k, k), TO_CHR.get(plain.get(k, k)), LATIN_OF.get(k), marks.get(k, 0)) for k in keys]
-    return spark.createDataFrame(rows, "cp string, plain string, to_chr string, to_lat string, ccc int")
+    # a composed character is taken apart too, so that marks after it find their order
+    apart = {c for p, c in pair_map().items()}
+    keys = sorted({*plain, *marks, *LOOKS_CHEROKEE, *LATIN_OF, *apart})
+    rows = []
+    for k in keys:
+        p = plain.get(k, k)
+        dec = [(x, unicodedata.combining(x)) for x in unicodedata.normalize("NFD", p)] if not "\uac00" <= p <= "\ud7a3" else [(p, 0)]
+        rows.append((k, p, TO_CHR.get(p), LATIN_OF.get(k), dec or [("", 0)]))
+    return spark.createDataFrame(rows, "cp string, plain string, to_chr string, to_lat string, dec array<struct<c:string,ccc:int>>")
 
 
 #: letters that two look-alikes exist for: Latin, first, second
 _TWO = "".join(k for k, c in LOOKS_CHEROKEE.items() if len(c) > 1)
 _FIRST, _SECOND = "".join(LOOKS_CHEROKEE[k][0] for k in _TWO), "".join(LOOKS_CHEROKEE[k][1] for k in _TWO)
+_TO_FIRST, _NO_CHR = str.maketrans(_SECOND, _FIRST), re.compile(f"[^{CHR}]")
 #: terms that may settle look-alikes; they are broadcast
 MOST_KNOWN = 200_000
 
 
 def settling(known: DataFrame) -> DataFrame:
-    """One row with the map ``__known`` from a term's letters, second look-alikes as first ones, to the term."""
+    """One row with the map ``__known`` from letters, second look-alikes as first ones, to all terms that have them."""
     up = F.regexp_replace(F.upper("term"), f"[^{CHR}]", "")
     t = known.where(F.col("term").isNotNull()).select(up.alias("t")).where(F.col("t").rlike(f"[{_SECOND}]") | F.col("t").rlike(f"[{_FIRST}]"))
     if t.count() > MOST_KNOWN:
         raise ValueError(f"at most {MOST_KNOWN} terms can settle look-alikes")
     order = F.translate("t", _FIRST + _SECOND, "0" * len(_FIRST) + "1" * len(_SECOND))
-    t = t.groupBy(F.translate("t", _SECOND, _FIRST).alias("k")).agg(F.min_by("t", order).alias("t"))
-    return t.agg(F.map_from_entries(F.collect_list(F.struct("k", "t"))).alias("__known"))
+    # terms of one key differ in look-alikes only
+    t = t.groupBy(F.translate("t", _SECOND, _FIRST).alias("k")).agg(F.array_sort(F.collect_set(F.struct(order.alias("o"), "t"))).alias("ts"))
+    return t.agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("ts.t").alias("ts")))).alias("__known"))
+
+
+def _composed(cluster):
+    """A cluster's characters (``base``, ``ccc``, ``put`` in canonical order) recomposed: a mark joins the character before it unless one of its class or none lies between."""
+    pairs = F.create_map(*[F.lit(v) for kv in pair_map().items() for v in kv])
+    l_, v_, t_, s_ = 0x1100, 0x1161, 0x11A7, 0xAC00
+
+    def code(c):
+        return F.ascii(c)  # the code point, whatever it is
+
+    def join(a, b):
+        ca, cb = code(a), code(b)
+        lv = (ca >= l_) & (ca < l_ + 19) & (cb >= v_) & (cb < v_ + 21)
+        lvt = (ca >= s_) & (ca < s_ + 11172) & ((ca - s_) % 28 == 0) & (cb > t_) & (cb < t_ + 28)
+        char = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(lv, char(s_ + ((ca - l_) * 21 + (cb - v_)) * 28)).when(lvt, char(ca + (cb - t_))).otherwise(F.try_element_at(pairs, F.concat(a, b)))
+
+    def step(acc, x):
+        # blocked: a character of class 0 or of the same class stands between the starter and this one
+        free = (acc["last"] == -1) | ((acc["last"] != 0) & (acc["last"] < x["ccc"]))
+        both = F.when(acc["starter"].isNotNull() & free, join(acc["starter"], x["put"]))
+        new = (x["ccc"] == 0) & both.isNull()
+        return F.struct(
+            F.when(new, F.concat(acc["done"], F.coalesce(acc["starter"], F.lit("")), acc["tail"])).otherwise(acc["done"]).alias("done"),
+            F.when(both.isNotNull(), both).when(new, x["put"]).otherwise(acc["starter"]).alias("starter"),
+            F.when(new, "").when(both.isNull(), F.concat(acc["tail"], x["put"])).otherwise(acc["tail"]).alias("tail"),
+            F.when(both.isNotNull(), acc["last"]).when(new, -1).otherwise(x["ccc"]).alias("last"),
+        )
+
+    zero = F.struct(F.lit("").alias("done"), F.lit(None).cast("string").alias("starter"), F.lit("").alias("tail"), F.lit(-1).alias("last"))
+    return F.aggregate(cluster, zero, step, lambda acc: F.concat(acc["done"], F.coalesce(acc["starter"], F.lit("")), acc["tail"]))
 
 
 def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form", known: DataFrame | None = None) -> DataFrame:
@@ -271,41 +345,45 @@ def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form",
     b = b.withColumn("__open", F.when(F.exists(open_, lambda x: x.isNotNull()), open_) if known is not None else F.lit(None).cast("array<string>"))
     cps = F.arrays_zip(F.split("__text", "").alias("cp"), scripts.alias("s"))
     points = b.select(*key, "__text", "__open", F.posexplode(cps).alias("__pos", "__x")).select(*key, "__text", "__open", "__pos", F.col("__x.cp").alias("__cp"), F.col("__x.s").alias("__s")).where(F.col("__cp") != "")
-    m = F.broadcast(tables(spark).toDF("__cp", "__plain", "__chr", "__lat", "__ccc"))
-    j = points.join(m, "__cp", "left")
-    put = F.when(F.col("__s") == "chr", F.coalesce("__chr", "__plain", "__cp")).when(F.col("__s") == "lat", F.coalesce("__lat", "__plain", "__cp")).otherwise(F.coalesce("__plain", "__cp"))
-    j = j.select(*key, "__text", F.when(F.col("__pos") == 0, F.col("__open")).alias("__open"), F.struct(F.col("__pos").alias("pos"), put.alias("put"), F.coalesce("__ccc", F.lit(0)).alias("ccc")).alias("__x"))
-    g = j.groupBy(*key).agg(F.first("__text").alias("__text"), F.first("__open", ignorenulls=True).alias("__open"), F.array_sort(F.collect_list("__x")).alias("__a"))
-    plainly = F.array_join(F.transform("__a", lambda x: x["put"]), "")
-    # Within a run of marks order by class: the run's base position, then class, then position.
-    based = F.aggregate(
-        "__a",
-        F.struct(F.lit(-1).alias("at"), F.expr("cast(array() as array<struct<at:int,ccc:int,pos:int,put:string>>)").alias("l")),
-        lambda acc, x: F.struct(
-            F.when(x["ccc"] > 0, acc["at"]).otherwise(x["pos"]).alias("at"),
-            F.concat(acc["l"], F.array(F.struct(F.when(x["ccc"] > 0, acc["at"]).otherwise(x["pos"]).alias("at"), x["ccc"].alias("ccc"), x["pos"].alias("pos"), x["put"].alias("put")))).alias("l"),
-        ),
-        lambda acc: F.array_sort(acc["l"]),
-    )
-    pairs = F.create_map(*[F.lit(v) for kv in pair_map().items() for v in kv])
-
-    def compose(acc, x):
-        last = F.right(acc, F.lit(1))
-        both = F.try_element_at(pairs, F.concat(last, x["put"]))
-        return F.when((x["ccc"] > 0) & both.isNotNull(), F.concat(F.substring(acc, F.lit(1), F.length(acc) - 1), both)).otherwise(F.concat(acc, x["put"]))
-
-    marked = F.exists("__a", lambda x: x["ccc"] > 0)
-    form = F.when(marked, F.aggregate(based, F.lit(""), compose)).otherwise(plainly)
-    done = g.select(*key, F.col("__text").alias(text), "__open", form.alias(out))
+    m = F.broadcast(tables(spark).toDF("__cp", "__plain", "__chr", "__lat", "__dec"))
+    plainly, looks = F.coalesce("__plain", "__cp"), F.when(F.col("__s") == "chr", F.col("__chr")).when(F.col("__s") == "lat", F.col("__lat"))
+    dec = F.coalesce("__dec", F.array(F.struct(F.col("__cp").alias("c"), F.lit(0).alias("ccc"))))
+    # the text itself and what settles it ride on the first code point
+    first = lambda c: F.when(F.col("__pos") == 0, F.col(c)).alias(c)
+    j = points.withColumn("__marked", F.col("__text").rlike(f"[{_ranges(followers())}]")).join(m, "__cp", "left")
+    back = [F.first("__text", ignorenulls=True).alias(text), F.first("__open", ignorenulls=True).alias("__open")]
+
+    # without marks every code point is its own cluster
+    alone = j.where(~F.col("__marked")).select(*key, first("__text"), first("__open"), F.struct(F.col("__pos").alias("pos"), F.coalesce(looks, plainly).alias("put")).alias("__x"))
+    alone = alone.groupBy(*key).agg(*back, F.array_join(F.transform(F.array_sort(F.collect_list("__x")), lambda x: x["put"]), "").alias(out))
+
+    # with marks: decomposed code points in order; clusters are numbered by the characters that begin one
+    d = j.where("__marked").select(*key, first("__text"), first("__open"), "__pos", looks.alias("__looks"), F.posexplode(dec).alias("__sub", "__d")).select(*key, "__text", "__open", "__pos", "__sub", "__looks", "__d.*").where((F.col("c") != "") | (F.col("__pos") == 0))
+    w = Window.partitionBy(*key).orderBy("__pos", "__sub")
+    follows = F.col("c").isin(*followers())
+    d = d.withColumn("__next", F.coalesce(F.lead("ccc").over(w), F.lit(0))).withColumn("__cluster", F.sum((~follows).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # marks are ordered by class behind the last character without one; a letter that carries a mark looks like no other
+    d = d.withColumn("__base", F.coalesce(F.sum((F.col("ccc") == 0).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    put = F.when((F.col("__next") == 0) & F.col("__looks").isNotNull(), F.col("__looks")).otherwise(F.col("c"))
+    one = F.struct(F.col("__base").alias("base"), "ccc", F.col("__pos").alias("pos"), F.col("__sub").alias("sub"), put.alias("put"))
+    clusters = d.groupBy(*key, "__cluster").agg(*[c.alias(n) for c, n in ((F.first("__text", ignorenulls=True), "__text"), (F.first("__open", ignorenulls=True), "__open"))], F.array_sort(F.collect_list(one)).alias("__a"))
+    clusters = clusters.withColumn("__put", F.when(F.size("__a") == 1, F.col("__a")[0]["put"]).otherwise(_composed(F.col("__a"))))
+    many = clusters.groupBy(*key).agg(*back, F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__cluster", "__put"))), lambda x: x["__put"]), "").alias(out))
+    done = alone.unionByName(many).select(*key, text, "__open", out)
     if known is None:
         return keep.unionByName(done.drop("__open"))
 
     def settled(f, t):
         """The final token ``f`` with the known term for its letters, if that keeps all letters of ``t`` that were Cherokee already."""
         core = F.regexp_replace(f, f"[^{CHR}]", "")
-        term = F.try_element_at("__known", F.translate(F.upper(core), _SECOND, _FIRST))
-        keeps = F.forall(F.zip_with(F.split(t, ""), F.split(term, ""), lambda x, y: x.isin(*_TWO) | (F.translate(x, "".join(TO_CHR), "".join(TO_CHR.values())) == y)), lambda ok: F.coalesce(ok, F.lit(False)))
-        fits = t.isNotNull() & term.isNotNull() & (F.length(term) == F.length(t)) & keeps & (F.upper(core) == core) & f.contains(core)
+        terms = F.try_element_at("__known", F.translate(F.upper(core), _SECOND, _FIRST))
+
+        def keeps(term):
+            same = F.zip_with(F.split(t, ""), F.split(term, ""), lambda x, y: x.isin(*_TWO) | (F.translate(x, "".join(TO_CHR), "".join(TO_CHR.values())) == y))
+            return (F.length(term) == F.length(t)) & F.forall(same, lambda ok: F.coalesce(ok, F.lit(False)))
+
+        term = F.get(F.filter(terms, keeps), F.lit(0))
+        fits = t.isNotNull() & term.isNotNull() & (F.upper(core) == core) & f.contains(core)
         return F.when(fits, F.replace(f, core, term)).otherwise(f)
 
     tokens = F.zip_with(F.split(out, r"(?<=[ \n])"), "__open", settled)
