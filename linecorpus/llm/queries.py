@@ -35,7 +35,7 @@ def _judge(spark: SparkSession, d: str):
 
 
 def _reader(spark: SparkSession, d: str):
-    readings = table(spark, d, "manifest_w_lang").select("label", "initial_ocr", "ftm_ocr")
+    readings = table(spark, d, "manifest_w_lang").select("ord", "label", "initial_ocr", "ftm_ocr")
     return repair.fitted(spark, table(spark, d, "lexicon"), table(spark, d, "documents"), two_fields(spark, d), "text", readings)
 
 

@@ -174,7 +174,8 @@ def shared(spark):
     lex = spark.createDataFrame([(w.lower(), "en") for w in WORDS], "term string, lang string")
     docs = spark.createDataFrame([(" ".join(WORDS * 40),), (None,), ("",), ("the letters of the village",)], "text string")
     lines = spark.createDataFrame([(f"River Town Herald {i}",) for i in range(5)] + [(None,), ("",)], "text string")
-    readings = spark.createDataFrame([("the farmers", "the farrners", None), ("the village", "the vi|llage", ""), ("ᎠᎡᎢᎣ the", None, "ᎠᎡᎢ the")] * 30, "a string, b string, c string")
+    rows = [("the farmers", "the farrners", None), ("the village", "the vi|llage", ""), ("ᎠᎡᎢᎣ the", None, "ᎠᎡᎢ the")] * 30
+    readings = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "ord int, a string, b string, c string")
     return repair.fitted(spark, lex, docs, lines, "text", readings)
 
 
