@@ -17,12 +17,14 @@ driver.
 from __future__ import annotations
 
 import heapq
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from linecorpus.llm.tokens import size
 from linecorpus.plans.lineage import cut
 
 BLOCKS = 10_000
@@ -45,34 +47,50 @@ def apportion(weights: dict, seats: int, caps: dict | None = None) -> dict:
     return has
 
 
-def shares(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(source, target_pct, max_repeats, size, total, reachable)``.
-
-    ``reachable``: all the source's documents, repeated as often as allowed,
-    have at least its share of the total size.
-    """
+def shares(documents: DataFrame, targets: DataFrame, tokenizer: str = "byt5", path: str | None = None) -> DataFrame:
+    """``(source, target_pct, max_repeats, size, total)``: sizes in tokens of all documents of the targeted sources."""
     t = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.coalesce(F.max("target_pct"), F.lit(0)).cast("long").alias("target_pct"), F.coalesce(F.max("max_repeats"), F.lit(0)).cast("long").alias("max_repeats"))
-    sizes = documents.where(F.col("source").isNotNull() & F.col("text").isNotNull()).groupBy("source").agg(F.sum(F.octet_length("text").cast("long")).alias("size"))
+    sizes = documents.where(F.col("source").isNotNull() & F.col("text").isNotNull()).groupBy("source").agg(F.sum(size(F.col("text"), tokenizer, path)).alias("size"))
     s = t.join(sizes, "source", "left").withColumn("size", F.coalesce("size", F.lit(0)).cast("long"))
     # targets are few: their sum is one window over as many rows
-    s = s.withColumn("total", F.sum("size").over(Window.partitionBy(F.lit(1))))
-    return s.withColumn("reachable", F.col("size") * F.col("max_repeats") * 100 >= F.col("target_pct") * F.col("total"))
+    return s.withColumn("total", F.sum("size").over(Window.partitionBy(F.lit(1))))
+
 
+def seated(facts: dict) -> tuple[Fraction, dict, dict, dict]:
+    """The size of a block, the blocks each source could carry, those it would have without that bound, and those it has.
 
-def mixed(documents: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    Sources whose targets leave a part of 100 % free leave their blocks to none.
+    """
+    total = next(iter(facts.values()))["total"] if facts else 0
+    block = Fraction(total, BLOCKS) if total else Fraction(1)
+    caps = {k: r["size"] * r["max_repeats"] / block for k, r in facts.items()}
+    weights = {k: r["target_pct"] for k, r in facts.items()}
+    free = {"": max(0, 100 - sum(weights.values()))} if "" not in weights else {}
+    wanted = apportion(weights | free, BLOCKS if total else 0)
+    return block, caps, {k: wanted[k] for k in weights}, apportion(weights, BLOCKS if total else 0, caps)
+
+
+def stopped(documents: DataFrame, targets: DataFrame, tokenizer: str = "byt5", path: str | None = None) -> DataFrame:
+    """``(source)``: sources that their repeats stop before they have the seats of their target."""
+    facts = {r["source"]: r for r in shares(documents, targets, tokenizer, path).collect()}
+    _, caps, wanted, _ = seated(facts)
+    return documents.sparkSession.createDataFrame([(k,) for k in sorted(facts) if caps[k] < wanted[k]], "source string")
+
+
+def mixed(documents: DataFrame, targets: DataFrame, seed: int = 42, tokenizer: str = "byt5", path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix ``(doc_id, source, tokens, repeats)`` and its report per source.
 
-    The report has target and actual share, quota and tokens given.
+    The report has target and actual share, quota and tokens given;
+    ``reachable``: its repeats carry the source to all the seats of its target.
+    Sizes are counted by ``tokenizer`` (:mod:`linecorpus.llm.tokens`).
     """
     spark = documents.sparkSession
-    facts = {r["source"]: r for r in shares(documents, targets).collect()}
+    facts = {r["source"]: r for r in shares(documents, targets, tokenizer, path).collect()}
     total = next(iter(facts.values()))["total"] if facts else 0
-    block = max(1, total // BLOCKS)
-    caps = {k: r["size"] * r["max_repeats"] / block for k, r in facts.items()}
-    seats = apportion({k: r["target_pct"] for k, r in facts.items()}, BLOCKS if total else 0, caps)
-    quota = {k: min(n * block, facts[k]["size"] * facts[k]["max_repeats"]) for k, n in seats.items()}
+    block, caps, wanted, seats = seated(facts)
+    quota = {k: min(int(n * block), facts[k]["size"] * facts[k]["max_repeats"]) for k, n in seats.items()}
 
-    docs = documents.where(F.col("text").isNotNull() & F.col("source").isin(*facts) if facts else F.lit(False)).select("doc_id", "source", F.octet_length("text").cast("long").alias("tokens"))
+    docs = documents.where(F.col("text").isNotNull() & F.col("source").isin(*facts) if facts else F.lit(False)).select("doc_id", "source", size(F.col("text"), tokenizer, path).alias("tokens"))
     n = docs.count()
     per = max(1, min(SHARDS // max(1, len(facts)), -(-n // SHARD)))
     docs = cut(docs.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(per)).cast("int")))
@@ -92,7 +110,7 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[Dat
     # a document that the quota's end falls in is taken if more than half of it lies within
     repeats = F.col("full") + (F.col("run") - F.col("tokens") / 2 < F.col("more")).cast("int")
     chosen = j.select("doc_id", "source", "tokens", repeats.cast("int").alias("repeats")).where("repeats > 0")
-    report_rows = [(k, int(r["target_pct"]), int(r["max_repeats"]), int(r["size"]), int(quota[k]), bool(r["reachable"])) for k, r in sorted(facts.items())]
+    report_rows = [(k, int(r["target_pct"]), int(r["max_repeats"]), int(r["size"]), int(quota[k]), bool(caps[k] >= wanted[k])) for k, r in sorted(facts.items())]
     base = spark.createDataFrame(report_rows, "source string, target_pct long, max_repeats long, size long, quota long, reachable boolean")
     given = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("given"), F.max("repeats").alias("most_repeats"))
     rep = base.join(given, "source", "left").withColumn("given", F.coalesce("given", F.lit(0)).cast("long")).withColumn("most_repeats", F.coalesce("most_repeats", F.lit(0)))

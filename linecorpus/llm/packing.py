@@ -7,7 +7,8 @@ gap so widened more tightly.
 The items are dealt to shards by a hash, which no hot source can skew, and each
 shard is packed on its own.  Containers left less than :data:`FULL` full are
 opened again and their items packed together in the next round, until these fit
-one shard.  An item above the capacity is cut at natural boundaries first
+one shard or a round closes less than a tenth of what it was given: then the
+items left cannot be packed much better, and their containers stay.  An item above the capacity is cut at natural boundaries first
 (:mod:`linecorpus.llm.pieces`); no other is cut.
 
 Null texts are left out, empty ones take a place of size 0 each; equal sizes are
@@ -22,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linecorpus.llm.pieces import pieces
+from linecorpus.llm.tokens import size
 from linecorpus.plans.lineage import cut
 
 #: items of one shard
 SHARD = 4000
 #: a container filled to this share stays closed
 FULL = 0.97
-ROUNDS = 3
+#: a round that closes a smaller share of its items is the last
+GAIN = 0.1
 
 
 class _Shelf:
@@ -84,31 +87,32 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     shelf, out = _Shelf(sizes), []
     while shelf.sizes:
         room, got = capacity, []
-        while (size := shelf.largest(room)) is not None:
-            got.append((size, shelf.take(size)))
-            room -= size
+        while (n := shelf.largest(room)) is not None:
+            got.append((n, shelf.take(n)))
+            room -= n
         if not got:
             raise ValueError("an item is larger than the capacity")
         if room and len(got) > 1:
-            size, item = min(got)
-            pair = shelf.two(room + size, size)
+            least, item = min(got)
+            pair = shelf.two(room + least, least)
             if pair:
-                got.remove((size, item))
+                got.remove((least, item))
                 got += [(x, shelf.take(x)) for x in pair]
-                shelf.put(size, item)
+                shelf.put(least, item)
         out.append([i for _, i in got])
     return out
 
 
-def containers(df: DataFrame, key: str, text: str, capacity: int, shard: int = SHARD) -> DataFrame:
+def containers(df: DataFrame, key: str, text: str, capacity: int, shard: int = SHARD, tokenizer: str = "byt5", path: str | None = None) -> DataFrame:
     """``(key, piece, tokens, container, filled)``: the container of each document or piece.
 
     ``piece`` is null for an uncut document.  ``container`` is a name,
-    ``filled`` the tokens in it.
+    ``filled`` the tokens in it.  Sizes are counted by ``tokenizer``
+    (:mod:`linecorpus.llm.tokens`).
     """
-    whole = df.where(F.col(text).isNotNull()).select(F.col(key).alias("__k"), F.col(text).alias("__t"), F.octet_length(text).cast("long").alias("tokens"))
+    whole = df.where(F.col(text).isNotNull()).select(F.col(key).alias("__k"), F.col(text).alias("__t"), size(F.col(text), tokenizer, path).alias("tokens"))
     fits = F.col("tokens") <= capacity
-    cut_up = pieces(whole.where(~fits), ["__k"], "__t", capacity)
+    cut_up = pieces(whole.where(~fits), ["__k"], "__t", capacity, 0, tokenizer, path)
     items = whole.where(fits).select("__k", F.lit(None).cast("int").alias("piece"), "tokens").unionByName(cut_up.select("__k", "piece", F.col("tokens").cast("long").alias("tokens")))
     items = cut(items)
     kind = items.schema["__k"].dataType.simpleString()
@@ -129,16 +133,17 @@ def containers(df: DataFrame, key: str, text: str, capacity: int, shard: int = S
 
         return packed
 
-    done, n = None, items.count()
-    for k in range(ROUNDS):
+    done, n, k = None, items.count(), 0
+    while True:
         shards = max(1, -(-n // shard))
         placed = items.withColumn("__s", F.pmod(F.xxhash64(F.lit(k), "__k", "piece"), F.lit(shards)).cast("int"))
         got = cut(placed.groupBy("__s").applyInPandas(run(f"r{k}"), schema))
-        last = shards == 1 or k == ROUNDS - 1
+        rest = got.where(F.col("filled") < FULL * capacity).select("__k", "piece", "tokens")
+        left = 0 if shards == 1 else rest.count()
+        last = shards == 1 or n - left < GAIN * n
         closed = got if last else got.where(F.col("filled") >= FULL * capacity)
         done = closed if done is None else done.unionByName(closed)
-        if last:
+        if last or not left:
             break
-        items = got.where(F.col("filled") < FULL * capacity).select("__k", "piece", "tokens")
-        n = items.count()
+        items, n, k = rest, left, k + 1
     return done.withColumnRenamed("__k", key)

@@ -102,7 +102,7 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1].where("not reachable").select("source")
+    return mixing.stopped(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:

@@ -158,3 +158,63 @@ def test_token_sizes(spark):
     path = "/opt/tokenizers/byte_bpe_50k.json"
     if os.path.exists(path):
         assert [r[0] for r in df.select(tokens.size(F.col("t"), "tokenizers", path)).collect()][1:] == [None, 0]
+
+
+def test_time_is_in_proportion(spark):
+    """Twice the text takes about twice as long, not four times; pieces of one long text are whole."""
+    import time
+
+    took = {}
+    for mb in (1, 2, 4):
+        t = ("some words and more of them Ꭰ. " * 40_000)[: mb * 1_000_000]
+        df = spark.createDataFrame([(mb, t)], "k int, text string")
+        start = time.time()
+        got = pieces.pieces(df, ["k"], "text", 2048, 128).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start") + F.col("tokens")).alias("end")).first()
+        took[mb] = time.time() - start
+        assert got["end"] == len(t.encode()) and got["n"] > len(t.encode()) / 2048
+    assert took[4] < 3 * took[2] + 2
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_pieces_by_other_tokenizers(spark, name):
+    import os
+
+    path = f"/opt/tokenizers/{name}"
+    if not os.path.exists(path):
+        pytest.skip("no vocabulary file")
+    texts = ["one two three. four five six\nseven eight nine ten. " * 12, "ᎠᎡᎢ ᎣᎤᎥ ᎦᎧᎨ " * 20, "short", "", None, "x" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got: dict = {}
+    for r in pieces.pieces(df, ["k"], "text", 32, 4, "tokenizers", path).collect():
+        got.setdefault(r["k"], []).append(r)
+    for k, t in enumerate(texts):
+        ps = sorted(got.get(k, []), key=lambda r: r["piece"])
+        if t is None:
+            assert not ps
+            continue
+        ends = tokens.spans("tokenizers", path, t)
+        assert [p["piece"] for p in ps] == list(range(len(ps))) and all(p["tokens"] <= 32 for p in ps)
+        assert ps[0]["start"] == 0 and ps[-1]["start"] + ps[-1]["tokens"] == len(ends)
+        for a, b in zip(ps, ps[1:]):
+            assert b["start"] == a["start"] + a["tokens"] - 4
+        raw, made = t.encode(), ps[0]["body"]
+        for p in ps[1:]:
+            made += raw[ends[p["start"] + 3] : ends[p["start"] + p["tokens"] - 1]].decode("utf-8", "ignore")
+        if t.isascii():
+            assert made == t
+    some = df.where("text != ''").withColumn("source", F.lit("s"))
+    boxes = packing.containers(some, "k", "text", 64, tokenizer="tokenizers", path=path).collect()
+    assert {r["k"] for r in boxes} == {0, 1, 2, 5} and max(r["filled"] for r in boxes) <= 64
+    t = spark.createDataFrame([("s", 100, 1)], "source string, target_pct int, max_repeats int")
+    size = sum(len(tokens.spans("tokenizers", path, x)) for x in texts if x)
+    assert mixing.mixed(some.withColumnRenamed("k", "doc_id"), t, tokenizer="tokenizers", path=path)[1].first()["size"] == size
+
+
+def test_sources_stopped_by_their_repeats(spark):
+    d = spark.createDataFrame([(i, "x" * 100, "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    for pct, want in (((34, 33, 33), {"a"}), ((33, 33, 34), {"c"}), ((30, 30, 30), set()), ((50, 25, 25), {"a"}), ((100, 0, 0), {"a"})):
+        t = spark.createDataFrame([(s, p, 1) for s, p in zip("abc", pct)], "source string, target_pct int, max_repeats int")
+        assert {r[0] for r in mixing.stopped(d, t).collect()} == want
+    # exactly enough is enough
+    assert mixing.stopped(d.where("source != 'c'"), spark.createDataFrame([("a", 50, 1), ("b", 50, 1)], "source string, target_pct int, max_repeats int")).count() == 0
+    assert mixing.stopped(d.where("false"), t).count() == 0
