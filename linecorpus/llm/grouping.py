@@ -2,14 +2,17 @@
 
 Records of one page, under whatever spelling or rescan, or of one verse are one
 group.  Pages are linked by a Borůvka-style contraction: in each round every
-component takes its least edge to another one, the edges taken join a forest
-that is kept in the checkpoint folder, and components joined by them contract.
-A round at least halves the components that have edges.
-
-Groups are then dealt to splits: the few that are large (above one in
-:data:`LARGE` of all rows, so at most that many) each to the split that is
-furthest from its share, the others stratified by size band and dealt
-systematically within strata.
+component takes its least edge to another one, the edges taken join a forest,
+and components joined by them contract.  A round at least halves the components
+that have edges.  The forest can be kept as a named table
+(:func:`keep_forest`); with new links it gives the same components as all the
+links it stands for.
+
+Groups are then dealt to splits by strata: bands of groups whose sizes differ
+by less than a factor of two, the largest first.  A band's rows go to the splits
+in proportion to what each then lacks, so what one band leaves over is carried
+to the next; within a band groups stand in a seeded order and each goes to the
+split that holds the middle of its place in it.
 
 A record with neither a readable scan nor a readable id gets no group (null)
 and no split; repeated rows go with their group; null link ends are ignored;
@@ -18,17 +21,15 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from linecorpus.plans.lineage import cut
+from linecorpus.plans.lineage import cut, ensure_checkpoint_dir
 
-#: a group above one in so many rows is dealt on its own
-LARGE = 1000
-#: groups of one stratum of the systematic deal
-STRATUM = 5000
+#: pages above one in so many rows, at most that many, are joined to their rows by broadcast; the other pages are small
+HOT = 1000
 
 
 def page_name(scan, ident):
@@ -43,12 +44,31 @@ def page_name(scan, ident):
     return F.coalesce(clean(scan), clean(ident))
 
 
-def components(links: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame]:
+def forest_path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/../forests/{name}"
+
+
+def keep_forest(forest: DataFrame, name: str) -> None:
+    """Write the spanning forest as a named table beside the checkpoints."""
+    cut(forest).write.mode("overwrite").parquet(forest_path(forest.sparkSession, name))
+
+
+def kept_forest(spark: SparkSession, name: str) -> DataFrame:
+    """The forest kept under ``name``: ``(a, b)``."""
+    return spark.read.schema("a string, b string").parquet(forest_path(spark, name))
+
+
+def components(links: DataFrame, a: str, b: str, forest: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(vertex, root)`` of all linked vertices, root the least name of each component, and the spanning forest ``(a, b)``.
 
-    Self-links, null ends and repeated links are ignored.
+    ``forest`` stands for links of earlier runs.  Self-links, null ends and
+    repeated links are ignored.
     """
     spark = links.sparkSession
+    links = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    a, b = "a", "b"
+    if forest is not None:
+        links = links.unionByName(forest.select("a", "b"))
     e = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     e = e.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
     # every edge has its own weight, so the forest is one and least edges make no longer cycles than two
@@ -80,59 +100,91 @@ def components(links: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame]:
     return comp.join(named, "root").select("vertex", F.col("name").alias("root")), forest
 
 
-def grouped(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id") -> DataFrame:
-    """``records`` with ``grp``; a column of that name gives way to it."""
-    records = records.drop("grp")
-    comp, _ = components(rescans.select("scan", "same_as"), "scan", "same_as")
-    own = F.when(F.col(ident).startswith("cnt_") & F.col(ident).contains("_line_") & F.col(scan).isNull(), F.regexp_replace(ident, r"_line_.*$", "")).otherwise(page_name(F.col(scan), F.col(ident)))
-    r = records.withColumn("__own", own)
-    return r.join(comp.withColumnRenamed("root", "__root"), r["__own"] == comp["vertex"], "left").withColumn("grp", F.coalesce("__root", "__own")).select(*records.columns, "grp")
+def own_group(scan: str, ident: str):
+    """The page or verse a record belongs to before rescans are linked."""
+    verse = F.col(ident).startswith("cnt_") & F.col(ident).contains("_line_") & F.col(scan).isNull()
+    return F.when(verse, F.regexp_replace(ident, r"_line_.*$", "")).otherwise(page_name(F.col(scan), F.col(ident)))
 
 
-def group_facts(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id", split: str = "split") -> DataFrame:
-    """``(grp, n, train, test)``: rows of each group, in all and by recorded split.
+def pages(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id", split: str | None = "split", keep: str | None = None) -> DataFrame:
+    """``(own, grp, n, train, test)`` of each page or verse: its group and its rows, in all and by recorded split.
 
     Rows are counted per page before the links are joined, so a page that holds
-    much of the table crosses the network as one row.
+    much of the table crosses the network as one row.  With ``keep`` the forest
+    is kept under that name.
     """
-    own = F.when(F.col(ident).startswith("cnt_") & F.col(ident).contains("_line_") & F.col(scan).isNull(), F.regexp_replace(ident, r"_line_.*$", "")).otherwise(page_name(F.col(scan), F.col(ident)))
-    per = records.select(own.alias("own"), F.col(split).alias("s")).where(F.col("own").isNotNull())
-    per = per.groupBy("own").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("s") == "train").cast("long")).alias("train"), F.sum((F.col("s") == "test").cast("long")).alias("test"))
-    comp, _ = components(rescans.select("scan", "same_as"), "scan", "same_as")
+    s = F.col(split) if split else F.lit(None).cast("string")
+    per = records.select(own_group(scan, ident).alias("own"), s.alias("s")).where(F.col("own").isNotNull())
+    count = lambda x: F.coalesce(F.sum((F.col("s") == x).cast("long")), F.lit(0))
+    per = per.groupBy("own").agg(F.count(F.lit(1)).alias("n"), count("train").alias("train"), count("test").alias("test"))
+    comp, forest = components(rescans, "scan", "same_as")
+    if keep:
+        keep_forest(forest, keep)
     j = per.join(comp, per["own"] == comp["vertex"], "left")
-    return j.groupBy(F.coalesce("root", "own").alias("grp")).agg(F.sum("n").alias("n"), F.sum(F.coalesce("train", F.lit(0))).alias("train"), F.sum(F.coalesce("test", F.lit(0))).alias("test"))
+    return j.select("own", F.coalesce("root", "own").alias("grp"), "n", "train", "test")
+
+
+def group_facts(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id", split: str = "split") -> DataFrame:
+    """``(grp, n, train, test)``: rows of each group, in all and by recorded split."""
+    return pages(records, rescans, scan, ident, split).groupBy("grp").agg(*[F.sum(c).alias(c) for c in ("n", "train", "test")])
+
+
+def with_pages(records: DataFrame, facts: DataFrame, scan: str = "source_scan", ident: str = "id") -> DataFrame:
+    """``records`` with the columns of ``facts(own, n, ...)`` of their page, null where they have none; columns of these names give way.
+
+    A page above one in :data:`HOT` rows is joined by broadcast (there can be no
+    more than :data:`HOT`), so no hot key is shuffled.
+    """
+    names = [c for c in facts.columns if c not in ("own", "n")]
+    f = cut(facts.select(F.col("own").alias("__own"), F.col("n").alias("__n"), *names))
+    total = f.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    r = records.drop(*names).withColumn("__own", own_group(scan, ident))
+    hot, rest = (f.where(c).drop("__n") for c in (F.col("__n") * HOT > total, F.col("__n") * HOT <= total))
+    cold = r.join(F.broadcast(hot.select("__own")), "__own", "left_anti").join(rest, "__own", "left")
+    return r.join(F.broadcast(hot), "__own").unionByName(cold).drop("__own")
+
+
+def grouped(records: DataFrame, rescans: DataFrame, scan: str = "source_scan", ident: str = "id") -> DataFrame:
+    """``records`` with ``grp``; a column of that name gives way to it."""
+    return with_pages(records, pages(records, rescans, scan, ident, None).select("own", "n", "grp"), scan, ident)
 
 
 def dealt(groups: DataFrame, shares: list[tuple[str, float]], seed: int = 42) -> DataFrame:
-    """``(grp, n, split)`` for ``groups(grp, n)``.  Shares need not add up to one."""
-    total_share = sum(x for _, x in shares)
-    shares = [(s, x / total_share) for s, x in shares]
-    g = cut(groups.select("grp", "n"))
-    total = g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first()
-    rows, k = int(total["n"]), int(total["k"])
-    large = F.col("n") * LARGE > rows
-    # at most LARGE groups can pass this filter
-    left = {s: x * rows for s, x in shares}
-    chosen = []
-    for r in g.where(large).orderBy(F.desc("n"), "grp").collect():
-        s = max(left, key=lambda s: (left[s], s))
-        left[s] -= r["n"]
-        chosen.append((r["grp"], r["n"], s))
-    rest = sum(max(0.0, x) for x in left.values()) or 1.0
+    """``(grp, n, split)`` for ``groups(grp, n)``.  Shares need not add up to one; groups without rows count as the smallest.
+
+    Only sums per band and partition reach the driver.
+    """
     spark = groups.sparkSession
-    big = spark.createDataFrame(chosen, T.StructType([T.StructField("grp", T.StringType()), T.StructField("n", T.LongType()), T.StructField("split", T.StringType())]))
-    small = g.where(~large)
-    h = F.xxhash64(F.lit(seed), "grp")
-    strata = max(1, -(-k // STRATUM))
-    small = small.withColumn("band", F.floor(F.log2("n"))).withColumn("stratum", F.pmod(h, F.lit(strata))).withColumn("h", F.xxhash64(F.lit(seed + 1), "grp"))
-    w = Window.partitionBy("band", "stratum")
-    run = F.sum("n").over(w.orderBy("h", "grp").rowsBetween(Window.unboundedPreceding, 0))
-    start = F.pmod(F.xxhash64(F.lit(seed), "band", "stratum"), F.lit(1 << 20)) / float(1 << 20)
-    at = F.pmod((run - F.col("n") / 2) / F.sum("n").over(w) + start, F.lit(1.0))
-    small = small.withColumn("at", at)
-    pick, upto = None, 0.0
-    for s, _ in shares[:-1]:
-        upto += max(0.0, left[s]) / rest
-        pick = F.when(F.col("at") < upto, s) if pick is None else pick.when(F.col("at") < upto, s)
-    split = pick.otherwise(shares[-1][0]) if pick is not None else F.lit(shares[0][0])
-    return big.unionByName(small.select("grp", "n", split.alias("split")))
+    whole = sum(x for _, x in shares)
+    shares = [(s, x / whole) for s, x in shares]
+    n = F.greatest(F.col("n").cast("long"), F.lit(1))
+    g = groups.select("grp", F.col("n").cast("long").alias("n"), F.floor(F.log2(n)).cast("int").alias("band"), F.xxhash64(F.lit(seed), "grp").alias("h"))
+    g = g.repartitionByRange(spark.sparkContext.defaultParallelism * 2, F.desc("band"), "h", "grp")
+    g = cut(g.withColumn("part", F.spark_partition_id()))
+    sums = g.groupBy("band", "part").agg(F.sum("n").alias("n")).orderBy(F.desc("band"), "part").collect()
+    # rows of the same band in the partitions before
+    before, rows, at = [], {}, 0
+    for r in sums:
+        at = rows.get(r["band"], 0)
+        before.append((r["band"], r["part"], at))
+        rows[r["band"]] = at + r["n"]
+    w = Window.partitionBy("part", "band").orderBy("h", "grp").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = F.broadcast(spark.createDataFrame(before, "band int, part int, before long"))
+    g = cut(g.withColumn("run", F.sum("n").over(w)).join(offsets, ["band", "part"]).select("grp", "n", "band", (F.col("before") + F.col("run") - F.col("n") / 2).alias("mid")))
+    given, seen, split = dict.fromkeys((s for s, _ in shares), 0), 0, F.lit(shares[0][0])
+    for band in sorted(rows, reverse=True):
+        seen += rows[band]
+        lack = {s: max(0.0, x * seen - given[s]) for s, x in shares}
+        scale, ends, upto = rows[band] / (sum(lack.values()) or 1.0), [], 0.0
+        for s, _ in shares:
+            if lack[s] > 0:
+                upto += lack[s] * scale
+                ends.append((upto, s))
+        pick = F.lit(ends[-1][1] if ends else shares[0][0])
+        for end, s in reversed(ends[:-1]):
+            pick = F.when(F.col("mid") < end, s).otherwise(pick)
+        split = F.when(F.col("band") == band, pick).otherwise(split)
+        if band != min(rows):
+            for r in g.where(F.col("band") == band).groupBy(pick.alias("s")).agg(F.sum("n").alias("n")).collect():
+                given[r["s"]] += r["n"]
+    return g.select("grp", "n", split.alias("split"))

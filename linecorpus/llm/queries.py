@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linecorpus.llm import forms, grouping, language, mixing, overlap, packing, pieces, repair, terms
+from linecorpus.plans.lineage import cut
 from linecorpus.plans.tables import table
 
 
@@ -46,10 +47,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "manifest_w_lang").select("ord", "id", "source_scan")
-    rows = grouping.grouped(m, table(spark, d, "rescans")).select("ord", "grp")
-    facts = grouping.group_facts(table(spark, d, "manifest_w_lang"), table(spark, d, "rescans"))
     shares = [(r["split"], float(r["share_pct"])) for r in table(spark, d, "split_targets").orderBy(F.desc("share_pct"), "split").collect()]
-    return rows.join(grouping.dealt(facts, shares).select("grp", "split"), "grp").select("ord", "grp", "split")
+    facts = cut(grouping.pages(m, table(spark, d, "rescans"), split=None, keep="rescans").select("own", "n", "grp"))
+    deal = grouping.dealt(facts.groupBy("grp").agg(F.sum("n").alias("n")), shares).select("grp", "split")
+    return grouping.with_pages(m, facts.join(deal, "grp")).select("ord", "grp", "split")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

@@ -71,6 +71,32 @@ def test_deal(spark):
     assert grouping.dealt(df.where("false"), [("train", 80.0), ("val", 20.0)]).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_shares_are_met_within_half_the_largest_group(spark, seed):
+    rng = random.Random(seed)
+    sizes = {0: [1] * 500, 1: [rng.randint(1, 60) for _ in range(400)], 2: [3000, 900, 800, 500] + [rng.randint(1, 40) for _ in range(200)], 3: [16, 16, 16, 16, 16]}[seed]
+    df = spark.createDataFrame([(f"g{i}", n) for i, n in enumerate(sizes)], "grp string, n long")
+    shares = [("train", 70.0), ("val", 10.0), ("test", 20.0)]
+    got = {r["grp"]: r["split"] for r in grouping.dealt(df, shares).collect()}
+    for s, share in shares:
+        # every row is dealt once, and no split misses its share by more than half the largest group
+        assert abs(sum(n for i, n in enumerate(sizes) if got[f"g{i}"] == s) - share / 100 * sum(sizes)) <= max(sizes) / 2 + 1
+    # the same groups on every run, however the table is partitioned
+    assert {r["grp"]: r["split"] for r in grouping.dealt(df.repartition(7), shares).collect()} == got
+
+
+def test_kept_forest_stands_for_its_links(spark):
+    links = [(f"v{i:02d}", f"v{(i * 7) % 30:02d}") for i in range(30)] + [("a", "b"), ("b", "c"), ("a", "c")]
+    more = [("c", "v01"), ("x", "y"), (None, "a")]
+    kind = "scan string, same_as string"
+    _, forest = grouping.components(spark.createDataFrame(links, kind), "scan", "same_as")
+    grouping.keep_forest(forest, "test-forest")
+    kept = grouping.kept_forest(spark, "test-forest")
+    whole, _ = grouping.components(spark.createDataFrame(links + more, kind), "scan", "same_as")
+    added, _ = grouping.components(spark.createDataFrame(more, kind), "scan", "same_as", kept)
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_groups_stay_together(spark):
     m = spark.createDataFrame(
         [(1, "a_col", "1828-01-01/seq-1.jp2", "train"), (2, "b", "18280101/seq-01.jp2", "test"), (3, "c", "1828-01-02/seq-1.tif", "test"), (4, "cnt_01_010101_line_00", None, "train"), (5, "cnt_01_010101_line_01", None, None), (6, "zzz", None, "train"), (6, "zzz", None, "train")],
