@@ -77,7 +77,7 @@ def plain_map() -> dict[str, str]:
             out[ch] = LOOKS_LATIN[ch]
         elif not dec or kind == "canonical":
             out[ch] = unicodedata.normalize("NFC", ch)
-        elif (kind in _DRESS or (kind != "fraction" and (cat[0] in "LN" or cat == "So"))) and whole[0] != " " and "\u2044" not in whole:
+        elif (kind in _DRESS or (kind != "fraction" and (cat[0] in "LN" or cat == "So"))) and " " not in whole and "\u2044" not in whole:
             out[ch] = whole
     return {k: v for k, v in out.items() if v != k}
 

@@ -14,23 +14,26 @@ record the share of its words that speak for its language, times that mean.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linecorpus.llm.forms import CHR, canonical
+from linecorpus.llm.forms import CHR, canonical, plain_map
 from linecorpus.llm.hyper import CACHE, Profiles
+from linecorpus.plans.lineage import ensure_checkpoint_dir
 
 MISSING = ("", "Error", "und")
+#: of the fitting; another one fits anew
+VERSION = 2
 #: bound on the labelled lines that the profiles are fitted on, beside the lexicon
 SAMPLE_LINES = 5_000
-#: bound on the lexicon's terms that the profiles are fitted on
+#: bound on the lexicon's terms, beyond which the operator refuses
 LEXICON_TERMS = 200_000
-#: a word whose cosines differ by less is looked up among the known terms
-DOUBT = 0.035
 
 _WORD = re.compile(r"\S+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -41,9 +44,9 @@ _END = re.compile(r"[.!?:]['\"”’)\]]*$")
 
 
 class Judge:
-    """Languages of words and texts; holds trained profiles and the known terms."""
+    """Languages of words and texts; holds trained profiles and the known terms, which are no names."""
 
-    def __init__(self, profiles: Profiles, names: Profiles | None, known: dict[str, str]):
+    def __init__(self, profiles: Profiles, names: Profiles | None, known: frozenset[str]):
         self.p, self.names, self.known = profiles, names, known
         self.en, self.chr = self.p.names.index("en"), [i for i, n in enumerate(self.p.names) if n != "en"]
         self.memo: dict[str, float] = {}
@@ -51,10 +54,8 @@ class Judge:
     @classmethod
     def train(cls, lexicon: list[tuple[str, str]], samples: list[tuple[str, str]], **more) -> Judge:
         words: dict[str, list[str]] = {"en": [], "lat": [], "syl": []}
-        known: dict[str, str] = {}
+        known = frozenset(term.upper() for term, _ in lexicon)
         for term, lang in lexicon:
-            up = term.upper()
-            known[up] = lang if known.get(up, lang) == lang else ""
             words["en" if lang == "en" else "syl" if _CHR.search(term) else "lat"].append(term)
         names = set()
         for text, lang in samples:
@@ -74,11 +75,7 @@ class Judge:
             if len(self.memo) > CACHE:
                 self.memo.clear()
             s = self.p.word(word)
-            m = float(s[self.en] - max(s[i] for i in self.chr))
-            if abs(m) < DOUBT:  # an exact look at a close call
-                lang = self.known.get(word.upper())
-                m = DOUBT if lang == "en" else -DOUBT if lang == "chr" else m
-            self.memo[word] = m
+            m = self.memo[word] = float(s[self.en] - max(s[i] for i in self.chr))
         return m
 
     def is_name(self, word: str, starts: bool) -> bool:
@@ -90,15 +87,15 @@ class Judge:
         s = self.names.word(word)
         return bool(s[0] > s[1])
 
-    def words(self, text: str) -> list[tuple[int, int, float]]:
-        """Start, end and margin of each word that counts."""
+    def words(self, text: str, spans: list[tuple[int, int]] | None = None) -> list[tuple[int, int, float]]:
+        """Start, end and margin of each word that counts; ``spans`` are the places to give for the text's tokens."""
         out, starts = [], True
-        for m in _WORD.finditer(text):
+        for at, m in enumerate(_WORD.finditer(text)):
             tok = m.group()
             if _LETTER.search(tok):
                 w = tok.strip(".,;:!?—–()[]\"'“”‘’*|&^~§")
                 if not self.is_name(w, starts):
-                    out.append((m.start(), m.end(), self.margin(w)))
+                    out.append((*(spans[at] if spans else m.span()), self.margin(w)))
                 starts = bool(_END.search(tok))
         if len(out) > 1:
             ms = [x[2] for x in out]
@@ -113,10 +110,10 @@ class Judge:
         """``(language, confidence, segments)``; a segment is (language, start, end, confidence)."""
         if not text or not _LETTER.search(text):
             return "Empty", 1.0, []
-        text = canonical(text)
-        ws = self.words(_BREAK.sub("", text) if not segments else text)
+        given, text = text, canonical(text)
+        ws = self.words(text, places(given)) if segments else self.words(_BREAK.sub("", text))
         if not ws:
-            return "English", 0.0, [("English", 0, len(text), 0.0)]
+            return "English", 0.0, [("English", 0, len(given), 0.0)]
         en = sum(v > 0 for *_, v in ws)
         n = len(ws)
         sure = [min(1.0, 0.5 + abs(v) * 8) for *_, v in ws]
@@ -136,11 +133,38 @@ class Judge:
         return lang, share * sum(sure) / n, segs
 
 
+def places(text: str) -> list[tuple[int, int]]:
+    """Where the tokens of a text's canonical form stand in the text itself."""
+    plain = plain_map()
+    # a token of invisible characters alone is none in the canonical form
+    return [m.span() for m in _WORD.finditer(text) if m.group().isascii() or any(plain.get(x, x) for x in m.group())]
+
+
 def fitted(spark: SparkSession, lexicon: DataFrame, samples: DataFrame):
-    """A broadcast :class:`Judge`, fitted on at most :data:`LEXICON_TERMS` terms and :data:`SAMPLE_LINES` lines."""
-    lex = lexicon.where(F.col("term").isNotNull() & F.col("lang").isin("en", "chr")).select("term", "lang").orderBy(F.xxhash64("term", "lang"), "term", "lang").limit(LEXICON_TERMS).collect()
-    sam = samples.where(F.col("text").isNotNull()).select("text", "lang").orderBy("sample_id").limit(SAMPLE_LINES).collect()
-    return spark.sparkContext.broadcast(Judge.train([tuple(r) for r in lex], [tuple(r) for r in sam]))
+    """A broadcast :class:`Judge` with all terms of the lexicon (at most :data:`LEXICON_TERMS`), fitted on them and on at most :data:`SAMPLE_LINES` lines, chosen by a hash.
+
+    The prototypes are kept in a table beside the checkpoints, named by what
+    they were fitted on, and read from there the next time.
+    """
+    lex = [tuple(r) for r in lexicon.where(F.col("term").isNotNull() & F.col("lang").isin("en", "chr")).select("term", "lang").distinct().limit(LEXICON_TERMS + 1).collect()]
+    if len(lex) > LEXICON_TERMS:
+        raise ValueError(f"the lexicon may have at most {LEXICON_TERMS} terms")
+    few = samples.where(F.col("text").isNotNull())
+    share = min(1.0, SAMPLE_LINES / max(1, few.count())) * (1 << 20)
+    sam = [tuple(r) for r in few.where(F.pmod(F.xxhash64("sample_id"), F.lit(1 << 20)) < share).select("text", "lang").collect()]
+    lex.sort(key=str)
+    sam.sort(key=str)
+    mark = hashlib.blake2b(repr((VERSION, lex, sam)).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+    path = f"{ensure_checkpoint_dir(spark)}/../prototypes/{mark}"
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+        got = {r["part"]: Profiles(list(r["names"]), np.frombuffer(r["vectors"], np.float32).reshape(len(r["names"]), r["dims"]), r["dims"], r["seed"]) for r in spark.read.parquet(path).collect()}
+        judge = Judge(got["words"], got.get("names"), frozenset(t.upper() for t, _ in lex))
+    else:
+        judge = Judge.train(lex, sam)
+        rows = [(n, p.names, p.letters.dims, p.letters.seed, p.vectors.astype(np.float32).tobytes()) for n, p in (("words", judge.p), ("names", judge.names)) if p is not None]
+        spark.createDataFrame(rows, "part string, names array<string>, dims int, seed int, vectors binary").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.sparkContext.broadcast(judge)
 
 
 SEGMENT = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("confidence", T.DoubleType())]))
@@ -150,7 +174,7 @@ def languages(df: DataFrame, judge, text: str, segments: bool = True) -> DataFra
     """``df`` with ``language``, ``confidence`` and, if wanted, ``segments`` of column ``text``.
 
     A segment is a stretch of one language: start and end in code points of the
-    text's canonical form.  Other columns pass through Python unread; those
+    text as given.  Other columns pass through Python unread; those
     named like a result give way to it.
     """
     kind = T.StructType([T.StructField("language", T.StringType()), T.StructField("confidence", T.DoubleType())] + ([T.StructField("segments", SEGMENT)] if segments else []))
