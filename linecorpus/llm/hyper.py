@@ -17,7 +17,7 @@ import unicodedata
 
 import numpy as np
 
-DIMS = 4096
+DIMS = 6144
 SIZES = (1, 2, 3, 4)
 #: words kept per process; then the memory is cleared
 CACHE = 300_000
@@ -67,7 +67,7 @@ class Profiles:
         self.by_word: dict[str, tuple] = {}
 
     @classmethod
-    def train(cls, words: dict[str, list[str]], dims: int = DIMS, seed: int = 7, sizes=SIZES, epochs: int = 12) -> Profiles:
+    def train(cls, words: dict[str, list[str]], dims: int = DIMS, seed: int = 7, sizes=SIZES, epochs: int = 24) -> Profiles:
         """One prototype for each class from its words; n-grams count by the logarithm of their number.
 
         In ``epochs`` further passes each word that is taken for another class,

@@ -29,7 +29,7 @@ from linecorpus.plans.lineage import ensure_checkpoint_dir
 
 MISSING = ("", "Error", "und")
 #: of the fitting; another one fits anew
-VERSION = 2
+VERSION = 3
 #: bound on the labelled lines that the profiles are fitted on, beside the lexicon
 SAMPLE_LINES = 5_000
 #: bound on the lexicon's terms, beyond which the operator refuses
