@@ -128,5 +128,131 @@ def bleed_through(image: np.ndarray, other: np.ndarray, opacity: float) -> np.nd
     return np.clip(grey(image) - opacity * (255.0 - o), 0, 255).astype(np.uint8)
 
 
-#: variants made of one source image: each of the four thresholds makes these twelve
-VARIANTS = [("elastic", 1), ("ink", 3), ("plain", 1), ("rotation", 3), ("noise", 4)]
+# morphology and contrast ----------------------------------------------------------
+
+
+def _extreme(image: np.ndarray, size: int, least: bool) -> np.ndarray:
+    """Least or greatest value in a square window around each pixel, edges repeated; rows and columns one after the other."""
+    r, out = size // 2, image
+    for axis in (0, 1):
+        pad = [(0, 0), (0, 0)]
+        pad[axis] = (r, size - 1 - r)
+        w = np.lib.stride_tricks.sliding_window_view(np.pad(out, pad, mode="edge"), size, axis=axis)
+        out = w.min(-1) if least else w.max(-1)
+    return out
+
+
+def eroded(image: np.ndarray, size: int = 3) -> np.ndarray:
+    """Dark parts grow: each pixel takes the least grey value around it."""
+    return _extreme(image, size, True)
+
+
+def dilated(image: np.ndarray, size: int = 3) -> np.ndarray:
+    """Dark parts shrink."""
+    return _extreme(image, size, False)
+
+
+def opened(image: np.ndarray, size: int = 3) -> np.ndarray:
+    """Bright specks smaller than the window go."""
+    return dilated(eroded(image, size), size)
+
+
+def closed(image: np.ndarray, size: int = 3) -> np.ndarray:
+    """Dark specks smaller than the window go."""
+    return eroded(dilated(image, size), size)
+
+
+def adaptive(image: np.ndarray, block: int = 31, offset: float = 10.0, opening: int = 0) -> np.ndarray:
+    """Black and white by the mean of a window less an offset; an even block is made odd; then opened, if wanted."""
+    g = grey(image)
+    mean = _sums(g, odd_window(block | 1, g.shape)) / float(odd_window(block | 1, g.shape) ** 2)
+    out = np.where(g > mean - offset, 255, 0).astype(np.uint8)
+    return opened(out, opening) if opening else out
+
+
+def equalised(image: np.ndarray, tiles: int = 8, limit: float = 2.0) -> np.ndarray:
+    """Contrast-limited adaptive equalisation: each tile's clipped histogram makes a curve, and a pixel is mapped by the curves of its four nearest tiles, weighted by nearness."""
+    g = grey(image)
+    h, w = g.shape
+    ty, tx = min(tiles, h), min(tiles, w)
+    ys, xs = np.linspace(0, h, ty + 1).astype(int), np.linspace(0, w, tx + 1).astype(int)
+    curves = np.empty((ty, tx, 256))
+    for a in range(ty):
+        for b in range(tx):
+            part = g[ys[a] : ys[a + 1], xs[b] : xs[b + 1]]
+            hist = np.bincount(part.reshape(-1), minlength=256).astype(float)
+            top = max(1.0, limit * part.size / 256)
+            over = np.maximum(0.0, hist - top).sum()
+            curves[a, b] = np.cumsum(np.minimum(hist, top) + over / 256) * 255 / part.size
+    fy = np.clip((np.arange(h) + 0.5) * ty / h - 0.5, 0, ty - 1)
+    fx = np.clip((np.arange(w) + 0.5) * tx / w - 0.5, 0, tx - 1)
+    y0, x0 = np.floor(fy).astype(int), np.floor(fx).astype(int)
+    y1, x1 = np.minimum(y0 + 1, ty - 1), np.minimum(x0 + 1, tx - 1)
+    wy, wx = (fy - y0)[:, None], (fx - x0)[None, :]
+    at = lambda yy, xx: curves[yy[:, None], xx[None, :], g]
+    out = (1 - wy) * ((1 - wx) * at(y0, x0) + wx * at(y0, x1)) + wy * ((1 - wx) * at(y1, x0) + wx * at(y1, x1))
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
+def normalised(image: np.ndarray, window: int = 31, tiles: int = 8, limit: float = 2.0) -> np.ndarray:
+    """The background, which closing leaves, divided out, then contrast equalised."""
+    g = grey(image)
+    back = closed(g, odd_window(window | 1, g.shape)).astype(float)
+    return equalised(np.clip(255.0 * g / np.maximum(1.0, back), 0, 255).astype(np.uint8), tiles, limit)
+
+
+# variants -------------------------------------------------------------------------
+
+
+def elastic(image: np.ndarray, seed: int, strength: float = 4.0, smooth: int = 9) -> np.ndarray:
+    """Pixels moved by a smooth random field, seeded."""
+    g = grey(image)
+    rng = np.random.Generator(np.random.PCG64(seed))
+    h, w = g.shape
+    window = odd_window(smooth | 1, g.shape)
+    dy, dx = (_sums(_sums(rng.uniform(-1, 1, (h, w)), window) / window**2, window) / window * strength for _ in range(2))
+    y, x = np.mgrid[0:h, 0:w]
+    return g[np.clip(np.rint(y + dy), 0, h - 1).astype(int), np.clip(np.rint(x + dx), 0, w - 1).astype(int)]
+
+
+def inked(image: np.ndarray, kind: int, seed: int) -> np.ndarray:
+    """Ink that is too thick (0), too thin (1) or broken by missing dots (2)."""
+    g = grey(image)
+    if kind == 0:
+        return eroded(g, 2)
+    if kind == 1:
+        return dilated(g, 2)
+    drop = np.random.Generator(np.random.PCG64(seed)).random(g.shape) < 0.05
+    return np.where(drop, 255, g).astype(np.uint8)
+
+
+def noisy(image: np.ndarray, kind: int, seed: int) -> np.ndarray:
+    """Grain (0), salt and pepper (1), a blur (2) or uneven light (3)."""
+    g = grey(image).astype(float)
+    rng = np.random.Generator(np.random.PCG64(seed))
+    if kind == 0:
+        out = g + rng.normal(0, 12, g.shape)
+    elif kind == 1:
+        u = rng.random(g.shape)
+        out = np.where(u < 0.01, 0.0, np.where(u > 0.99, 255.0, g))
+    elif kind == 2:
+        out = _sums(g, odd_window(3, g.shape)) / odd_window(3, g.shape) ** 2
+    else:
+        out = g * np.linspace(0.8, 1.0, g.shape[1])[None, :]
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
+#: degrees of the rotated variants
+TURNS = (-1.5, 0.75, 1.5)
+
+
+def variants(image: np.ndarray, seed: int) -> list[tuple[str, np.ndarray]]:
+    """The twelve variants of one source image: elastic, ink (3), plain, rotation (3), noise (4); the same for the same seed."""
+    g = grey(image)
+    return [
+        ("elastic", elastic(g, seed)),
+        *((f"ink{k}", inked(g, k, seed + 1)) for k in range(3)),
+        ("plain", g),
+        *((f"rotation{k}", rotate(g, t)) for k, t in enumerate(TURNS)),
+        *((f"noise{k}", noisy(g, k, seed + 2 + k)) for k in range(4)),
+    ]

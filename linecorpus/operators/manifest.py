@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from linecorpus.functions.text import CHEROKEE, count_class, or_else
+from linecorpus.functions.text import CHEROKEE, WS, count_class, or_else
 
 # filters ----------------------------------------------------------------------
 
@@ -197,9 +197,10 @@ def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> Data
     its new ones, so a scan that holds much of the table is many tasks; only the
     pairs found, not the lines, come together for the greedy choice.
     """
-    ref = F.trim(or_else(F.trim("label"), F.trim("initial_ocr")))
+    strip = lambda c: F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    ref = strip(or_else(strip("label"), strip("initial_ocr")))
     o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & ref.isNotNull() & F.col("source_scan").isNotNull()).select("source_scan", "ord", "id", ref.alias("text"), "status", "label")
-    n = new.where(F.col("status").eqNullSafe("unlabeled") & (F.trim("initial_ocr") != "") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), F.col("ord").alias("new_ord"), F.col("id").alias("new_id"), F.trim("initial_ocr").alias("new_text"))
+    n = new.where(F.col("status").eqNullSafe("unlabeled") & (strip("initial_ocr") != "") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), F.col("ord").alias("new_ord"), F.col("id").alias("new_id"), strip("initial_ocr").alias("new_text"))
     blocks = o.groupBy("source_scan").agg(F.ceil(F.count(F.lit(1)) / TRANSFER_BLOCK).cast("int").alias("blocks"))
     ob = o.join(blocks, "source_scan").withColumn("block", F.pmod(F.xxhash64("ord", "id"), F.col("blocks")).cast("int"))
     every = blocks.select(F.col("source_scan").alias("scan"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))

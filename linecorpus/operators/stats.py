@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linecorpus.operators.splits import placed
+
 
 def error_summary(df: DataFrame, by: list[str], rate: str = "cer") -> DataFrame:
     """Mean, exact median and count of a rate per group."""
@@ -59,10 +61,23 @@ def top_confusions(counts: DataFrame, op: str = "substitution", top: int = 30) -
     return counts.where(F.col("op") == op).orderBy(F.desc("n"), "t", "p").limit(top)
 
 
-def confusion_matrix(counts: DataFrame, alphabet: list[str]) -> DataFrame:
-    """Dense matrix with matches on the diagonal, a column ``<del>`` and a row ``<ins>``."""
+def confusion_cells(counts: DataFrame, alphabet: list[str]) -> DataFrame:
+    """Every cell ``(truth, pred, n)`` of the matrix over ``alphabet``, 0 where nothing was counted; ``<del>`` is a prediction, ``<ins>`` a truth.
+
+    Long, since signs that differ in case only cannot all name columns.
+    """
     named = counts.select(F.when(F.col("op") == "insertion", "<ins>").otherwise(F.col("t")).alias("truth"), F.when(F.col("op") == "deletion", "<del>").otherwise(F.col("p")).alias("pred"), "n")
-    return named.groupBy("truth").pivot("pred", [*alphabet, "<del>"]).agg(F.sum("n")).na.fill(0)
+    side = lambda name, *more: counts.sparkSession.createDataFrame([(c,) for c in [*alphabet, *more]], f"{name} string")
+    # as large as the alphabet squared, whatever the data
+    cells = side("truth", "<ins>").crossJoin(F.broadcast(side("pred", "<del>"))).where("truth <> '<ins>' or pred <> '<del>'")
+    return cells.join(named.groupBy("truth", "pred").agg(F.sum("n").alias("n")), ["truth", "pred"], "left").select("truth", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def confusion_matrix(cells: DataFrame, alphabet: list[str]) -> DataFrame:
+    """Dense matrix from :func:`confusion_cells`, one row per truth; columns are named by code point (``u13a0``), ``del`` last."""
+    name = {c: f"u{ord(c):04x}" for c in alphabet} | {"<del>": "del"}
+    mapped = F.create_map(*[F.lit(x) for kv in name.items() for x in kv])
+    return cells.withColumn("__c", F.try_element_at(mapped, F.col("pred"))).groupBy("truth").pivot("__c", [*name.values()]).agg(F.sum("n")).na.fill(0)
 
 
 def character_counts(df: DataFrame, text: Column, chars: str) -> DataFrame:
@@ -103,8 +118,8 @@ def filled_with(df: DataFrame, columns: list[str], value: float = 100.0) -> Data
 
 
 def ranked(df: DataFrame, metric: str, tie: str) -> DataFrame:
-    """Listing from 1 by a metric; for summaries of few rows."""
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(metric, tie)))
+    """Listing from 1 by a metric, of any number of rows."""
+    return placed(df.orderBy(metric, tie))
 
 
 def worst(df: DataFrame, metric: str, ties: list[str], top: int) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from linecorpus.functions import metrics, sequences, text
 from linecorpus.operators import manifest, search, splits, stats, sweep, verses
+from linecorpus.plans import alignment_sql
 from linecorpus.plans.tables import spread, table
 from linecorpus.sources import readers, sinks
 
@@ -376,17 +377,28 @@ def confusions(s: SparkSession, d: str) -> DataFrame:
     return stats.events_counted(spread(e.select("t", "r")).select(sequences.alignment(F.col("t"), F.col("r")).alias("events")))
 
 
-@query("agg08_confusion_counts")
+_LINES = f"SELECT {_norm('label')} AS t, {_norm('ftm_ocr')} AS r FROM manifest_w_lang WHERE label <> '' AND ftm_ocr IS NOT NULL AND ftm_ocr <> 'Error'"
+#: distinct pairs are aligned once each and counted as often as they occur
+_EVENTS = alignment_sql.edits(f"SELECT t || chr(0) || r AS k, {_chars('t')} AS a, {_chars('r')} AS b FROM (SELECT DISTINCT * FROM ({_LINES}))") + f""",
+    often AS (SELECT t || chr(0) || r AS k, count(*) AS times FROM ({_LINES}) GROUP BY 1),
+    counts AS MATERIALIZED (SELECT t, p, op, sum(times)::BIGINT AS n FROM events JOIN often USING (k) GROUP BY t, p, op) """
+
+
+@query("agg08_confusion_counts", _EVENTS + "SELECT * FROM counts")
 def _(s, d):
     return confusions(s, d)
 
 
-@query("agg09_confusion_rates")
+def _share(op: str) -> str:
+    return f"(sum(n) FILTER (op = '{op}'))"
+
+
+@query("agg09_confusion_rates", _EVENTS + "SELECT sum(n) FILTER (op <> 'insertion')::BIGINT AS truth, " + ", ".join(f"coalesce({_share(o)}, 0)::BIGINT AS {o}, round(100.0 * coalesce({_share(o)}, 0) / sum(n) FILTER (op <> 'insertion'), 2) AS {o}_pct" for o in ("match", "substitution", "deletion", "insertion")) + " FROM counts")
 def _(s, d):
     return stats.confusion_rates(confusions(s, d))
 
 
-@query("agg10_deletion_rates")
+@query("agg10_deletion_rates", _EVENTS + "SELECT t AS ch, (sum(n) FILTER (op = 'deletion'))::BIGINT AS deleted, sum(n)::BIGINT AS total, round(100.0 * sum(n) FILTER (op = 'deletion') / sum(n), 2) AS rate FROM counts WHERE op <> 'insertion' GROUP BY t HAVING sum(n) FILTER (op = 'deletion') > 0 ORDER BY rate DESC, ch LIMIT 15")
 def _(s, d):
     return stats.deletion_rates(confusions(s, d))
 
@@ -428,10 +440,21 @@ def _(s, d):
     return table(s, d, "manifest_w_lang").where("source_scan is not null").groupBy("source_scan").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"))
 
 
-@query("agg20_top_k_recall")
+_STRIP = "trim({0}, '" + text.SIGNS.replace("'", "''") + "')"
+
+
+@query(
+    "agg20_top_k_recall",
+    f"""WITH c AS (SELECT {_TOK('label')} AS ts, {_TOK('candidates')} AS cs FROM (SELECT DISTINCT * FROM fts_candidates) JOIN (SELECT id, label FROM line_metadata WHERE label <> '') USING (id)),
+    w AS (SELECT unnest(ts) AS truth, cs AS pool FROM c)
+    SELECT count(*) AS words, """
+    + ", ".join(f"sum((list_contains(list_transform(pool[1:{k}], lambda z: {_STRIP.format('z')}), {_STRIP.format('truth')}))::INT)::BIGINT AS top{k}, round(100.0 * sum((list_contains(list_transform(pool[1:{k}], lambda z: {_STRIP.format('z')}), {_STRIP.format('truth')}))::INT) / count(*), 2) AS pct{k}" for k in (1, 2, 5))
+    + " FROM w",
+)
 def _(s, d):
+    """Each truth word among its line's candidates in their order, so that k matters."""
     c = table(s, d, "fts_candidates").distinct().join(table(s, d, "line_metadata").select("id", "label"), "id").where("label <> ''")
-    pairs = search.paired(text.tokens(F.col("label")), F.transform(text.tokens(F.col("candidates")), lambda x: F.array(x)))
+    pairs = F.transform(text.tokens(F.col("label")), lambda t: F.struct(t.alias("truth"), text.tokens(F.col("candidates")).alias("cands")))
     return search.recall_at(c.select(F.explode(pairs).alias("p")).select("p.*"))
 
 
@@ -460,7 +483,7 @@ def _(s, d):
     return verses.flattened(table(s, d, "verses")).withColumn("line_no", F.col("line_no").cast("long"))
 
 
-@query("ord02_ranked_documents", _EVAL_SQL + ", g AS (SELECT doc_id, round(avg(cer), 6) AS mean FROM ev WHERE algo = 'initial' GROUP BY doc_id) SELECT doc_id, mean, row_number() OVER (ORDER BY mean, doc_id)::INT AS rank FROM g")
+@query("ord02_ranked_documents", _EVAL_SQL + ", g AS (SELECT doc_id, round(avg(cer), 6) AS mean FROM ev WHERE algo = 'initial' GROUP BY doc_id) SELECT doc_id, mean, row_number() OVER (ORDER BY mean, doc_id) AS rank FROM g")
 def _(s, d):
     return stats.ranked(flagship(s, d).select("doc_id", "mean"), "mean", "doc_id")
 
@@ -495,16 +518,11 @@ def _(s, d):
     return stats.worst(g, "cer", ["id"], 15)
 
 
-@query("top03_confusions")
+@query("top03_confusions", _EVENTS + "SELECT * FROM counts WHERE op = 'substitution' ORDER BY n DESC, t, p LIMIT 30")
 def _(s, d):
     return stats.top_confusions(confusions(s, d))
 
 
-@query("top05_newest_first", "SELECT id, original_filename FROM uploads ORDER BY uploaded_at DESC NULLS LAST, id LIMIT 50")
-def _(s, d):
-    return table(s, d, "uploads").orderBy(F.desc_nulls_last("uploaded_at"), "id").select("id", "original_filename").limit(50)
-
-
 @query("top05_all_newest_first", "SELECT id, original_filename, row_number() OVER (ORDER BY uploaded_at DESC NULLS LAST, id, original_filename) AS rank FROM uploads")
 def _(s, d):
     u = table(s, d, "uploads").orderBy(F.desc_nulls_last("uploaded_at"), "id", "original_filename").select("id", "original_filename")
@@ -660,10 +678,11 @@ def _(s, d):
     return table(s, d, "manifest_w_lang").where("label <> ''").select("ord", metrics.viewer_cer(F.col("label"), F.col("ftm_ocr")).alias("cer"))
 
 
-@query("dist06_difference")
+@query("dist06_difference", alignment_sql.differences(f"SELECT ord AS k, {_chars('label')} AS a, {_chars('ftm_ocr')} AS b FROM manifest_w_lang WHERE label <> '' AND ftm_ocr <> '' AND label <> ftm_ocr") + "SELECT k AS ord, pos, t, p, op FROM events WHERE op <> 'match'")
 def _(s, d):
     m = table(s, d, "manifest_w_lang").where("label <> '' and ftm_ocr <> '' and label <> ftm_ocr").select("ord", "label", "ftm_ocr")
-    return spread(m).select("ord", F.filter(sequences.difference(F.col("label"), F.col("ftm_ocr")), lambda x: x["op"] != "match").alias("marks")).where("size(marks) > 0")
+    marks = spread(m).select("ord", F.posexplode(sequences.difference(F.col("label"), F.col("ftm_ocr"))).alias("pos", "e"))
+    return marks.select("ord", F.col("pos").cast("long").alias("pos"), "e.*").where("op <> 'match'")
 
 
 def voted(s: SparkSession, d: str) -> DataFrame:
@@ -762,7 +781,17 @@ def _(s, d):
     return splits.variations(table(s, d, "manifest_w_lang").where("label <> ''").select("ord", "label"), "label", list("ᎩᏑᎶ")).select("ord", "variation")
 
 
-@query("split11_typos")
+def _unit(key: str, salt: str) -> str:
+    return f"(('0x' || substr(md5(concat({key}, ':{salt}')), 1, 8))::BIGINT / 4294967296.0)"
+
+
+@query(
+    "split11_typos",
+    f"""SELECT ord, CASE WHEN {_unit('ord', '7')} < 0.05 THEN CASE
+        WHEN kind = 0 THEN left(label, cut) || letter || substr(label, cut + 2) WHEN kind = 1 AND n > 1 THEN left(label, cut) || substr(label, cut + 2)
+        WHEN kind = 1 THEN label ELSE left(label, cut) || letter || substr(label, cut + 1) END ELSE label END AS label
+      FROM (SELECT ord, label, length(label) AS n, floor({_unit('ord', '7at')} * length(label))::INT AS cut, floor({_unit('ord', '7kind')} * 3)::INT AS kind, chr(5024 + floor({_unit('ord', '7letter')} * 86)::INT) AS letter FROM manifest_w_lang WHERE label <> '')""",
+)
 def _(s, d):
     return splits.typo(table(s, d, "manifest_w_lang").where("label <> ''").select("ord", "label"), "ord", "label")
 
@@ -777,12 +806,6 @@ def _(s, d):
     return sweep.binarisations(s).select("name")
 
 
-@query("split14_shuffled_subset", "SELECT id FROM (SELECT DISTINCT id FROM manifest_w_lang WHERE label <> '') ORDER BY md5(concat(id, ':42')), id LIMIT 100")
-def _(s, d):
-    m = table(s, d, "manifest_w_lang").where("label <> ''").select("id").distinct()
-    return m.orderBy(splits.hash_order(F.col("id"), 42), "id").limit(100)
-
-
 @query("split14_shuffled_all", "SELECT id, row_number() OVER (ORDER BY md5(concat(id, ':42')), id) AS rank FROM (SELECT DISTINCT id FROM manifest_w_lang WHERE label <> '')")
 def _(s, d):
     m = table(s, d, "manifest_w_lang").where("label <> ''").select("id").distinct()
@@ -822,12 +845,6 @@ def _(s, d):
     return readers.log_rows(s.createDataFrame([(x,) for x in lines], "value string"), "value")
 
 
-@query("snk09_upsert_candidates", "SELECT id, max(candidates) AS candidates FROM fts_candidates GROUP BY id")
-def _(s, d):
-    c = table(s, d, "fts_candidates")
-    return manifest.upsert(c.where("false"), c, "id", "candidates").select("id", "candidates")
-
-
 @query("snk10_box_files", "SELECT ord, 'WordStr 0 0 ' || w || ' ' || h || ' 0 #' || label || chr(10) || chr(9) || ' 0 0 ' || w || ' ' || h || ' 0' || chr(10) AS box FROM (SELECT ord, label, line_bbox[3] - line_bbox[1] AS w, line_bbox[4] - line_bbox[2] AS h FROM manifest_w_lang WHERE label <> '' AND len(line_bbox) = 4)")
 def _(s, d):
     m = table(s, d, "manifest_w_lang").where("label <> '' and size(line_bbox) = 4")
@@ -858,9 +875,18 @@ def _(s, d):
     return m.select("ord", manifest.padded_box(F.col("line_bbox"), F.lit(3000), F.lit(4000)).alias("p")).select("ord", "p.x1", "p.y1", "p.x2", "p.y2", F.round("p.scale", 6).alias("scale"))
 
 
-@query("geo11_unscaled_heights")
+@query(
+    "geo11_unscaled_heights",
+    """WITH h AS (SELECT DISTINCT (line_bbox[4] - line_bbox[2])::INT AS crop FROM manifest_w_lang WHERE len(line_bbox) = 4 AND line_bbox[4] > line_bbox[2]),
+    u AS (SELECT crop, min(x) AS found FROM h LEFT JOIN range(30, 4000) r(x) ON x < greatest(31, crop) AND x + 2 * floor(3 / (30.0 / x))::INT = crop GROUP BY crop)
+    SELECT crop, round(CASE WHEN crop <= 51 THEN 1.0 WHEN found IS NOT NULL THEN 30.0 / found ELSE 36.0 / crop END, 6)::DOUBLE AS scale,
+      (CASE WHEN crop <= 51 THEN greatest(1, crop - 6) WHEN found IS NOT NULL THEN found ELSE floor(30 / (36.0::DOUBLE / crop)) END)::INT AS height FROM u""",
+)
 def _(s, d):
-    return s.range(1, 400).select(F.col("id").cast("int").alias("crop")).select("crop", manifest.unscaled_height(F.col("crop")).alias("p")).select("crop", F.round("p.scale", 6).alias("scale"), "p.height")
+    c = lambda i: F.element_at("line_bbox", i)
+    h = table(s, d, "manifest_w_lang").where(F.size("line_bbox") == 4).select((c(4) - c(2)).cast("int").alias("crop")).where("crop > 0").distinct()
+    return h.select("crop", manifest.unscaled_height(F.col("crop")).alias("p")).select("crop", F.round("p.scale", 6).alias("scale"), F.col("p.height").cast("int").alias("height"))
+
 
 
 @query("run10_dry_run", "SELECT id, parent_id, epochs, avg_BCER, avg_BWER FROM (SELECT 'e' || i || '_epoch_' || ep AS id, 'e' || i AS parent_id, ep::INT AS epochs, (25.0 - 0.5 * i - 0.1 * ep)::DOUBLE AS avg_BCER, (55.0 - 0.8 * i - 0.2 * ep)::DOUBLE AS avg_BWER FROM range(0, 3) t(i), (VALUES (4), (8)) u(ep))")
@@ -876,6 +902,7 @@ def _(s, d):
 
 
 def _all() -> None:
+    import linecorpus.plans.catalog_io  # noqa: F401 - adds its queries
     import linecorpus.plans.catalog_more  # noqa: F401 - adds its queries
 
 

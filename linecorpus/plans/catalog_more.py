@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from linecorpus.functions import metrics, sequences, text
 from linecorpus.operators import images, search, splits, stats, sweep, verses
-from linecorpus.plans.catalog import _CHR, _EVAL_SQL, _TOK, _chars, _lev, confusions, evaluated, features, query
+from linecorpus.plans import alignment_sql
+from linecorpus.plans.catalog import _CHR, _EVAL_SQL, _EVENTS, _FEATURES_SQL, _TOK, _chars, _lev, _norm, confusions, evaluated, features, query
 from linecorpus.plans.tables import spread, table
 from linecorpus.sources import readers, sinks
 
@@ -39,10 +40,15 @@ def _(s, d):
     return evaluated(s, d).groupBy("algo", "split").agg(F.round(F.median("cer"), 6).alias("median"))
 
 
-@query("agg14_best_grid_point")
+@query(
+    "agg14_best_grid_point",
+    f"""WITH f AS ({_FEATURES_SQL}), p AS (SELECT (row_number() OVER (ORDER BY t, a, c))::INT - 1 AS ord, t::DOUBLE AS t, a::DOUBLE AS a, 50.0::DOUBLE AS b, c::DOUBLE AS c FROM (VALUES (0.3), (0.4), (0.5), (0.6)) x(t), (VALUES (40), (60)) y(a), (VALUES (30), (60)) w(c)),
+    g AS (SELECT p.*, avg(((pct_cherokee >= t OR (pct_cherokee >= 0.15 AND ftm_conf >= a AND chr_conf >= b AND eng_conf < c)) = (true_label = 'Cherokee'))::INT) AS accuracy FROM f, p GROUP BY ALL)
+    SELECT t, a, b, c, round(accuracy, 6) AS accuracy FROM g ORDER BY g.accuracy DESC, ord LIMIT 1""",
+)
 def _(s, d):
     g = sweep.grid(s, t=[0.3, 0.4, 0.5, 0.6], a=[40.0, 60.0], b=[50.0], c=[30.0, 60.0])
-    return sweep.best_point(sweep.rule_grid(features(s, d), g))
+    return sweep.best_point(sweep.rule_grid(features(s, d), g)).select("t", "a", "b", "c", F.round("accuracy", 6).alias("accuracy"))
 
 
 @query("agg23_skew_angles")
@@ -65,18 +71,12 @@ def _(s, d):
     return sweep.latest_iterations(f, 2)
 
 
-@query("top04_off_diagonal")
+@query("top04_off_diagonal", _EVENTS + "SELECT * FROM counts WHERE op = 'substitution' ORDER BY n DESC, t, p LIMIT 20")
 def _(s, d):
     c = confusions(s, d).where("op = 'substitution'")
     return stats.top_confusions(c, top=20)
 
 
-@query("top06_viewer_order", "SELECT ord, ftm_confidence FROM manifest_w_lang WHERE ftm_confidence IS NOT NULL ORDER BY ftm_confidence, id, ord LIMIT 25")
-def _(s, d):
-    m = table(s, d, "manifest_w_lang").where("ftm_confidence is not null").select("ord", "id", "ftm_confidence")
-    return m.orderBy(*stats.ORDERS["conf_asc"](), "ord").limit(25).select("ord", "ftm_confidence")
-
-
 _VERSE = "regexp_extract(id, '^cnt_\\d+_(\\d+)_', 1), try_cast(regexp_extract(id, '_line_(\\d+)$', 1) AS INT) NULLS FIRST, id"
 _VIEWER = {"cer_desc": "cer DESC NULLS LAST, id", "cer_asc": "cer NULLS LAST, id", "conf_asc": "ftm_confidence NULLS LAST, id", "conf_desc": "ftm_confidence DESC NULLS LAST, id", "verse": _VERSE}
 
@@ -165,10 +165,11 @@ def _(s, d):
     return table(s, d, "line_metadata").where("label is not null and initial_ocr is not null").select("id", F.levenshtein(a, b).cast("long").alias("d"))
 
 
-@query("dist05_alignments")
+@query("dist05_alignments", alignment_sql.edits(f"SELECT ord AS k, {_chars('t')} AS a, {_chars('r')} AS b FROM (SELECT ord, {_norm('label')} AS t, {_norm('ftm_ocr')} AS r FROM manifest_w_lang WHERE label <> '' AND ftm_ocr <> '') WHERE t <> r") + "SELECT k AS ord, pos, t, p, op FROM events WHERE op <> 'match'")
 def _(s, d):
     e = evaluated(s, d).where("algo = 'ftm' and ocr <> '' and t <> r").select("ord", "t", "r")
-    return spread(e).select("ord", F.filter(sequences.alignment(F.col("t"), F.col("r")), lambda x: x["op"] != "match").alias("events")).where("size(events) > 0")
+    events = spread(e).select("ord", F.posexplode(sequences.alignment(F.col("t"), F.col("r"))).alias("pos", "e"))
+    return events.select("ord", F.col("pos").cast("long").alias("pos"), "e.*").where("op <> 'match'")
 
 
 @query("dist12_realigned_once")
@@ -246,12 +247,19 @@ def _(s, d):
     return readers.exclusion_rows(s.createDataFrame([(x,) for x in shapes], "value string"), "value")
 
 
-@query("snk05_confusion_matrix")
+_ALPHABET = "SELECT chr(x::INT) AS ch FROM range(5024, 5110) r(x) UNION ALL SELECT chr(x::INT) FROM range(32, 127) r(x)"
+
+
+@query(
+    "snk05_confusion_matrix",
+    _EVENTS + f""", alphabet AS ({_ALPHABET}), cells AS (
+      SELECT r.ch AS truth, c.ch AS pred FROM (SELECT ch FROM alphabet UNION ALL SELECT '<ins>') r, (SELECT ch FROM alphabet UNION ALL SELECT '<del>') c WHERE r.ch <> '<ins>' OR c.ch <> '<del>')
+    SELECT truth, pred, coalesce(n, 0)::BIGINT AS n FROM cells LEFT JOIN (SELECT CASE WHEN op = 'insertion' THEN '<ins>' ELSE t END AS truth, CASE WHEN op = 'deletion' THEN '<del>' ELSE p END AS pred, sum(n) AS n FROM counts GROUP BY 1, 2) USING (truth, pred)""",
+)
 def _(s, d):
-    c = confusions(s, d)
     # the alphabet is that of two scripts, not of the data
     alphabet = [chr(x) for x in range(0x13A0, 0x13F6)] + [chr(x) for x in range(0x20, 0x7F)]
-    return stats.confusion_matrix(c, alphabet)
+    return stats.confusion_cells(confusions(s, d), alphabet)
 
 
 @query("snk10_triplets", "SELECT ord || '.gt.txt' AS path, label AS content FROM manifest_w_lang WHERE label <> '' UNION ALL SELECT ord || '.box', 'WordStr 0 0 100 42 0 #' || label || chr(10) || chr(9) || ' 0 0 100 42 0' || chr(10) FROM manifest_w_lang WHERE label <> ''")

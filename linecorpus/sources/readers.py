@@ -7,7 +7,6 @@ others read paths.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linecorpus.functions.text import WS, percent_after, url_parts
+from linecorpus.sources import files
 
 # Field names and types of the corpus's records.
 MANIFEST = (
@@ -46,14 +46,14 @@ def json_map(spark: SparkSession, path: str, schema: str = MANIFEST) -> DataFram
 
 def json_list(spark: SparkSession, path: str, schema: str = UPLOADS) -> DataFrame:
     """A list of records; a missing or broken file gives none."""
-    if not os.path.exists(path):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
 
 
-def first_present(*paths: str) -> str:
+def first_present(spark: SparkSession, *paths: str) -> str:
     for p in paths:
-        if os.path.exists(p):
+        if files.exists(spark, p):
             return p
     raise FileNotFoundError(", ".join(paths))
 

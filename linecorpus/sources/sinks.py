@@ -10,9 +10,11 @@ import math
 import os
 import time
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linecorpus.sources import files
+
 
 def json_records(df: DataFrame, path: str) -> None:
     """Records as JSON lines with nulls kept, NaN as null."""
@@ -21,26 +23,22 @@ def json_records(df: DataFrame, path: str) -> None:
 
 
 def versioned(df: DataFrame, folder: str, keep: int = 2) -> str:
-    """A new version beside the old ones; the newest ``keep`` stay.  Returns its path.
-
-    For folders on a file system the driver can list.
-    """
-    path = os.path.join(folder, f"v{time.time_ns()}")
+    """A new version beside the old ones; the newest ``keep`` stay.  Returns its path."""
+    spark = df.sparkSession
+    path = f"{folder}/v{time.time_ns()}"
     df.write.parquet(path)
-    old = sorted(x for x in os.listdir(folder) if x.startswith("v") and x[1:].isdigit())
-    for x in old[:-keep]:
-        for root, dirs, files in os.walk(os.path.join(folder, x), topdown=False):
-            for f in files:
-                os.remove(os.path.join(root, f))
-            for d in dirs:
-                os.rmdir(os.path.join(root, d))
-        os.rmdir(os.path.join(folder, x))
+    for x in _versions(spark, folder)[:-keep]:
+        files.remove(spark, f"{folder}/{x}")
     return path
 
 
-def current(folder: str) -> str | None:
-    old = sorted(x for x in os.listdir(folder) if x.startswith("v") and x[1:].isdigit()) if os.path.isdir(folder) else []
-    return os.path.join(folder, old[-1]) if old else None
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    return [x for x in files.names(spark, folder) if x.startswith("v") and x[1:].isdigit()]
+
+
+def current(spark: SparkSession, folder: str) -> str | None:
+    old = _versions(spark, folder)
+    return f"{folder}/{old[-1]}" if old else None
 
 
 def csv_report(df: DataFrame, path: str) -> None:

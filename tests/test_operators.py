@@ -143,8 +143,9 @@ def test_golden_aggregates(spark):
     d = spark.createDataFrame([("]", "", "deletion", 20), ("]", "]", "match", 2)], "t string, p string, op string, n long")
     assert stats.deletion_rates(d).first()["rate"] == 90.91
     assert spark.createDataFrame([(x,) for x in (1.0, 2.0, 4.0, 9.0)], "x double").agg(F.median("x")).first()[0] == 3.0
-    m = stats.confusion_matrix(c, ["a", "b"])
-    assert {r["truth"]: (r["a"], r["b"], r["<del>"]) for r in m.collect()} == {"a": (28683, 381, 406), "<ins>": (195, 0, 0)}
+    m = stats.confusion_matrix(stats.confusion_cells(c, ["a", "b", "A"]), ["a", "b", "A"])
+    got = {r["truth"]: (r["u0061"], r["u0062"], r["u0041"], r["del"]) for r in m.collect()}
+    assert got == {"a": (28683, 381, 0, 406), "b": (0, 0, 0, 0), "A": (0, 0, 0, 0), "<ins>": (195, 0, 0, 0)}
 
 
 def test_schedules_and_choices(spark):
@@ -204,7 +205,7 @@ def test_sinks(spark, tmp_path):
     (tmp_path / "v").mkdir()
     for _ in range(3):
         last = sinks.versioned(df, str(tmp_path / "v"))
-    assert sinks.current(str(tmp_path / "v")) == last and len(list((tmp_path / "v").iterdir())) == 2
+    assert sinks.current(spark, str(tmp_path / "v")) == last and len(list((tmp_path / "v").iterdir())) == 2
     t = spark.createDataFrame([("s", "ᎠᎡ", 10, 20)], "stem string, text string, width int, height int")
     sinks.write_files(sinks.triplets(t), str(tmp_path / "t")).collect()
     assert (tmp_path / "t" / "s.box").read_text() == "WordStr 0 0 10 20 0 #ᎠᎡ\n\t 0 0 10 20 0\n"
@@ -251,3 +252,30 @@ def test_empty_tables(spark):
     assert manifest.transfer_labels(m, m).count() == 0
     assert splits.every_nth_split(m, "ord").count() == 0
     assert manifest.latest(m, "id", "ord").count() == 0
+
+
+def test_image_variants_and_contrast():
+    rng = np.random.default_rng(1)
+    g = rng.integers(60, 160, (40, 90)).astype(np.uint8)
+    got = dict(images.variants(g, 5))
+    assert len(got) == 12 and all(a.shape == g.shape and a.dtype == np.uint8 for a in got.values())
+    assert all((a == b).all() for a, b in zip(got.values(), dict(images.variants(g, 5)).values()))
+    assert (got["plain"] == g).all() and sum((a == g).all() for a in got.values()) == 1
+    assert got["ink0"].mean() < g.mean() < got["ink1"].mean()
+    # brute force
+    p = np.pad(g, 1, mode="edge")
+    least = np.min([p[y : y + 40, x : x + 90] for y in range(3) for x in range(3)], axis=0)
+    assert (images.eroded(g) == least).all() and (images.opened(g) <= g).all() and (images.closed(g) >= g).all()
+    speck = np.zeros((20, 20), np.uint8)
+    speck[5, 5] = 255
+    assert images.opened(speck).sum() == 0
+    # one tile without a limit is the usual equalisation
+    one = images.equalised(g, 1, 1e9)
+    cdf = np.cumsum(np.bincount(g.reshape(-1), minlength=256)) * 255 / g.size
+    assert (one == np.rint(cdf[g]).astype(np.uint8)).all()
+    assert images.equalised(g).std() > g.std() and images.normalised(g).shape == g.shape
+    flat = np.full((30, 30), 200, np.uint8)
+    flat[10:14, 5:25] = 30
+    b = images.adaptive(flat, 16, 10)
+    assert set(np.unique(b)) == {0, 255} and (b[11:13, 6:24] == 0).all() and (b[25:, :] == 255).all()
+    assert images.equalised(np.zeros((1, 1), np.uint8)).shape == (1, 1)

@@ -4,9 +4,6 @@ import pytest
 
 from linecorpus.plans import catalog
 
-SLOW = {"dist07_three_way_vote"}
-
-
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_against_sql(name, same):
     same(catalog.queries()[name], catalog.oracle_sql()[name])
@@ -16,7 +13,8 @@ def test_against_sql(name, same):
 def test_runs(name, spark, data):
     df = catalog.queries()[name](spark, data)
     assert df.columns
-    assert df.count() >= 0
+    # all columns are made and written, not counted away
+    df.write.format("noop").mode("overwrite").save()
 
 
 def test_flagship(spark, data):
