@@ -157,10 +157,9 @@ def normalised(df: DataFrame, min_letters: int = MIN_LETTERS, source: str | None
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """``(d, tid, norm, n_test, n_train)``: one row per distinct text; ``tid`` is the front of ``d``."""
+    """``(d, tid, norm, n_test, n_train)``: one row per distinct text; ``tid`` is its least ``ord``."""
     count = lambda c: F.sum(c.cast("long"))
-    g = rows.groupBy("d").agg(F.first("norm").alias("norm"), count(~F.col("train")).alias("n_test"), count(F.col("train")).alias("n_train"))
-    return g.withColumn("tid", F.conv(F.hex(F.substring("d", 1, 8)), 16, -10).cast("long"))
+    return rows.groupBy("d").agg(F.first("norm").alias("norm"), F.min("ord").alias("tid"), count(~F.col("train")).alias("n_test"), count(F.col("train")).alias("n_train"))
 
 
 def _digests(texts: DataFrame, counts, prefix: str, exact: bool, repeat: bool, hot: int) -> DataFrame:

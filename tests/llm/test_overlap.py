@@ -120,7 +120,7 @@ def test_the_first_join_finds_what_shares_half_its_chunks(spark):
             n += 1
             rows.append((n, s, noisy(rng, base, rng.randint(0, 3))))
     texts = overlap.classes(overlap.normalised(spark.createDataFrame(rows, "ord long, split string, label string"))).collect()
-    df = spark.createDataFrame(texts, "d binary, norm string, n_test long, n_train long, tid long")
+    df = spark.createDataFrame(texts, "d binary, norm string, tid long, n_test long, n_train long")
     got = {tuple(r) for r in overlap.candidates(df, False).collect()}
     both = [(a, b) for a in texts for b in texts if a["n_test"] and b["n_train"] and a["tid"] != b["tid"] and abs(len(a["norm"]) - len(b["norm"])) * 8 <= max(len(a["norm"]), len(b["norm"]))]
     import pandas as pd
