@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from linecorpus.functions.sequences import ratio
 from linecorpus.functions.text import CHEROKEE, WS, count_class, or_else
+from linecorpus.plans.lineage import cut
 
 # filters ----------------------------------------------------------------------
 
@@ -152,6 +154,11 @@ def missing_crops(df: DataFrame, present: DataFrame, path: str = "image_path") -
 
 #: old lines of one block of the label transfer
 TRANSFER_BLOCK = 512
+#: pairs of letters that two lines must share in the index of similar lines
+SHARED = 2
+#: commonest pairs of letters, which the index puts last
+COMMON_PAIRS = 4096
+PAIR = ("a_ord", "a_id", "b_ord", "b_id")
 
 
 def similar_pairs(old: list[str], new: list[str], least: float) -> list[tuple[int, int, float]]:
@@ -186,6 +193,78 @@ def similar_pairs(old: list[str], new: list[str], least: float) -> list[tuple[in
     return out
 
 
+def similar_lines(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """``(scan, a_ord, a_id, b_ord, b_id, ratio)`` of all lines of one scan with a similarity above ``least``, of ``(scan, ord, id, text)`` both; ``ord`` and ``id`` together are unique.
+
+    Matched letters stand in blocks, of which there are at most one more than
+    letters unmatched.  So two texts of ``s`` letters together share at least
+    ``(1.5 * least - 1) * s`` pairs of neighbouring letters, rounded down, and,
+    the longer one being no more than ``(2 - least) / least`` times the other,
+    their rarest pairs but for that many share some too: these are joined.
+    Texts too short for that are compared in blocks, as are all if ``least`` is
+    two thirds or less.  No similar pair is lost.
+    """
+    part = 1.5 * least - 1
+    # below so many letters on both sides nothing is promised
+    short = int(SHARED / part) if part > 0 else 1 << 30
+    n = F.length("text")
+    close = _compared(a.where(n <= short), b.where(n <= short), least)
+    if part <= 0:
+        return close
+    grams = lambda t: t.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("g"))
+    common = grams(a.where(n > 1)).unionByName(grams(b.where(n > 1))).groupBy("g").count().orderBy(F.desc("count"), "g").limit(COMMON_PAIRS).collect()
+    order = {r["g"]: k for k, r in enumerate(reversed(common), 1)}
+
+    def index(t: DataFrame, name: str) -> DataFrame:
+        schema = T.StructType([*t.select("scan", "ord", "id").schema.fields, T.StructField("n", T.IntegerType()), T.StructField("g", T.StringType())])
+
+        def run(batches):
+            for pdf in batches:
+                at, n_, gs = [], [], []
+                for row, text in enumerate(pdf["text"]):
+                    seen: dict[str, int] = {}
+                    mine = []
+                    for i in range(len(text) - 1):
+                        g = text[i : i + 2]
+                        seen[g] = seen.get(g, 0) + 1
+                        mine.append((order.get(g, 0), g, seen[g]))
+                    sure = int(part * len(text) * 2 / (2 - least))
+                    keep = len(mine) - sure + SHARED if sure >= SHARED else len(mine)
+                    for _, g, k in sorted(mine)[: max(0, keep)]:
+                        at.append(row)
+                        n_.append(len(text))
+                        gs.append(f"{g}{k}")
+                out = pdf[["scan", "ord", "id"]].iloc[at].reset_index(drop=True)
+                yield out.assign(n=np.array(n_, np.int32), g=gs)
+
+        return t.where(F.length("text") > 1).mapInPandas(run, schema).select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "n")], "g")
+
+    met = index(a, "a").join(index(b, "b"), ["scan", "g"]).where((F.col("a_n") * least < F.col("b_n") * (2 - least)) & (F.col("b_n") * least < F.col("a_n") * (2 - least)))
+    # short texts of both sides have been compared
+    met = met.where((F.col("a_n") > short) | (F.col("b_n") > short)).groupBy("scan", *PAIR).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= SHARED)
+    texts = lambda t, name: t.select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "text")])
+    full = met.join(texts(a, "a"), ["scan", *PAIR[:2]]).join(texts(b, "b"), ["scan", *PAIR[2:]])
+    return full.withColumn("ratio", ratio(F.col("a_text"), F.col("b_text"))).where(F.col("ratio") > least).select("scan", *PAIR, "ratio").unionByName(close)
+
+
+def _compared(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """:func:`similar_lines` by blocks of a scan's lines against all of the other side."""
+    blocks = a.groupBy("scan").agg(F.ceil(F.count(F.lit(1)) / TRANSFER_BLOCK).cast("int").alias("blocks"))
+    ab = a.join(blocks, "scan").withColumn("block", F.pmod(F.xxhash64("ord", "id"), F.col("blocks")).cast("int"))
+    every = blocks.select("scan", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
+    bb = b.join(every, "scan")
+    kinds = {c: x.schema[c[2:]].dataType for c, x in zip(PAIR, (a, a, b, b))}
+    schema = T.StructType([T.StructField("scan", T.StringType()), *[T.StructField(c, k) for c, k in kinds.items()], T.StructField("ratio", T.DoubleType())])
+
+    def near(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        got = similar_pairs(x["text"].tolist(), y["text"].tolist(), least)
+        i, j = [g[0] for g in got], [g[1] for g in got]
+        cols = {c: (x if c[0] == "a" else y)[c[2:]].to_numpy()[i if c[0] == "a" else j] for c in PAIR}
+        return pd.DataFrame({"scan": key[0], **cols, "ratio": [g[2] for g in got]})
+
+    return ab.groupBy("scan", "block").cogroup(bb.groupBy("scan", "part")).applyInPandas(near, schema)
+
+
 def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> DataFrame:
     """Labels of old lines for new lines of the same scan by text similarity, one to one.
 
@@ -193,26 +272,18 @@ def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> Data
     highest ratio above ``least`` (the first of equals) out of the pool.  The
     result is ``(old_id, new_id, status, label, ratio)``.
 
-    Similar pairs are found first, for blocks of a scan's old lines against all
-    its new ones, so a scan that holds much of the table is many tasks; only the
-    pairs found, not the lines, come together for the greedy choice.
+    Similar pairs are found first, by an index of letter pairs (:func:`similar_lines`),
+    so a scan that holds much of the table is many tasks; only the pairs found,
+    not the lines, come together for the greedy choice of their scan.
     """
     strip = lambda c: F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
     ref = strip(or_else(strip("label"), strip("initial_ocr")))
     o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & ref.isNotNull() & F.col("source_scan").isNotNull()).select("source_scan", "ord", "id", ref.alias("text"), "status", "label")
     n = new.where(F.col("status").eqNullSafe("unlabeled") & (strip("initial_ocr") != "") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), F.col("ord").alias("new_ord"), F.col("id").alias("new_id"), strip("initial_ocr").alias("new_text"))
-    blocks = o.groupBy("source_scan").agg(F.ceil(F.count(F.lit(1)) / TRANSFER_BLOCK).cast("int").alias("blocks"))
-    ob = o.join(blocks, "source_scan").withColumn("block", F.pmod(F.xxhash64("ord", "id"), F.col("blocks")).cast("int"))
-    every = blocks.select(F.col("source_scan").alias("scan"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
-    nb = n.join(every, "scan")
-
-    def near(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        got = similar_pairs(a["text"].tolist(), b["new_text"].tolist(), least)
-        i, j = [g[0] for g in got], [g[1] for g in got]
-        return pd.DataFrame({"source_scan": key[0], "old_ord": a["ord"].to_numpy()[i], "old_id": a["id"].to_numpy()[i], "new_ord": b["new_ord"].to_numpy()[j], "new_id": b["new_id"].to_numpy()[j], "ratio": [g[2] for g in got]})
-
     kind = old.schema["ord"].dataType.simpleString()
-    pairs = ob.groupBy("source_scan", "block").cogroup(nb.groupBy("scan", "part")).applyInPandas(near, f"source_scan string, old_ord {kind}, old_id string, new_ord {kind}, new_id string, ratio double")
+    a = cut(o.select(F.col("source_scan").alias("scan"), "ord", "id", "text"))
+    b = cut(n.select("scan", F.col("new_ord").alias("ord"), F.col("new_id").alias("id"), F.col("new_text").alias("text")))
+    pairs = similar_lines(a, b, least).withColumnsRenamed({"scan": "source_scan", "a_ord": "old_ord", "a_id": "old_id", "b_ord": "new_ord", "b_id": "new_id"})
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["old_ord", "old_id", "ratio", "new_ord", "new_id"], ascending=[True, True, False, True, True], kind="stable")

@@ -279,3 +279,31 @@ def test_image_variants_and_contrast():
     b = images.adaptive(flat, 16, 10)
     assert set(np.unique(b)) == {0, 255} and (b[11:13, 6:24] == 0).all() and (b[25:, :] == 255).all()
     assert images.equalised(np.zeros((1, 1), np.uint8)).shape == (1, 1)
+
+
+@pytest.mark.parametrize("least", [0.75, 0.9, 0.6])
+def test_similar_lines_lose_no_pair(spark, least):
+    import difflib
+    import random
+
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdefgh ", k=rng.choice([3, 6, 9, 12, 16, 20, 40]))) for _ in range(25)]
+
+    def near(t):
+        t = list(t)
+        for _ in range(rng.randint(0, max(1, len(t) // 3))):
+            i = rng.randrange(len(t))
+            t[i : i + rng.randint(0, 1)] = rng.choice(["", "x", "yz", "a"])
+            t = t or ["a"]
+        return "".join(t)
+
+    a = [(rng.choice("st"), i, "o", near(rng.choice(base))) for i in range(120)]
+    b = [(rng.choice("st"), i, "n", near(rng.choice(base))) for i in range(120)]
+    kind = "scan string, ord int, id string, text string"
+    got = {(r["a_ord"], r["b_ord"]): round(r["ratio"], 9) for r in manifest.similar_lines(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind), least).collect()}
+    want = {}
+    for s, i, _, x in a:
+        for t, j, _, y in b:
+            if s == t and (q := difflib.SequenceMatcher(None, x, y).ratio()) > least:
+                want[i, j] = round(q, 9)
+    assert len(want) > 50 and got == want
