@@ -8,6 +8,7 @@ Insertion order is the column ``ord``.
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from linecorpus.functions.sequences import ratio
 from linecorpus.functions.text import CHEROKEE, WS, count_class, or_else
 from linecorpus.plans.lineage import cut
 
@@ -155,7 +155,7 @@ def missing_crops(df: DataFrame, present: DataFrame, path: str = "image_path") -
 #: old lines of one block of the label transfer
 TRANSFER_BLOCK = 512
 #: pairs of letters that two lines must share in the index of similar lines
-SHARED = 2
+SHARED = 3
 #: commonest pairs of letters, which the index puts last
 COMMON_PAIRS = 4096
 PAIR = ("a_ord", "a_id", "b_ord", "b_id")
@@ -244,7 +244,26 @@ def similar_lines(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     met = met.where((F.col("a_n") > short) | (F.col("b_n") > short)).groupBy("scan", *PAIR).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= SHARED)
     texts = lambda t, name: t.select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "text")])
     full = met.join(texts(a, "a"), ["scan", *PAIR[:2]]).join(texts(b, "b"), ["scan", *PAIR[2:]])
-    return full.withColumn("ratio", ratio(F.col("a_text"), F.col("b_text"))).where(F.col("ratio") > least).select("scan", *PAIR, "ratio").unionByName(close)
+    return full.withColumn("ratio", F.when(F.col("a_text") == F.col("b_text"), 1.0).otherwise(above(F.when(F.col("a_text") != F.col("b_text"), F.col("a_text")), F.col("b_text"), F.lit(float(least))))).where(F.col("ratio") > least).select("scan", *PAIR, "ratio").unionByName(close)
+
+
+@F.pandas_udf(T.DoubleType())
+def above(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """The similarity of two texts, null where the letters they have in common, whatever their order, show that it is not above ``least``."""
+    m, counts, memo, out = difflib.SequenceMatcher(None), {}, {}, []
+    for x, y, t in zip(a, b, least):
+        if x is None:
+            out.append(None)
+            continue
+        if (x, y) not in memo:
+            cx, cy = (counts.setdefault(z, Counter(z)) for z in (x, y))
+            common = sum(min(k, cy[z]) for z, k in cx.items() if z in cy)
+            memo[x, y] = None
+            if 2.0 * common > t * (len(x) + len(y)):
+                m.set_seqs(x, y)
+                memo[x, y] = m.ratio()
+        out.append(memo[x, y])
+    return pd.Series(out, dtype="float64")
 
 
 def _compared(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
