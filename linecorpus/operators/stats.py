@@ -67,9 +67,9 @@ def confusion_cells(counts: DataFrame, alphabet: list[str]) -> DataFrame:
     Long, since signs that differ in case only cannot all name columns.
     """
     named = counts.select(F.when(F.col("op") == "insertion", "<ins>").otherwise(F.col("t")).alias("truth"), F.when(F.col("op") == "deletion", "<del>").otherwise(F.col("p")).alias("pred"), "n")
-    side = lambda name, *more: counts.sparkSession.createDataFrame([(c,) for c in [*alphabet, *more]], f"{name} string")
     # as large as the alphabet squared, whatever the data
-    cells = side("truth", "<ins>").crossJoin(F.broadcast(side("pred", "<del>"))).where("truth <> '<ins>' or pred <> '<del>'")
+    truths = counts.sparkSession.createDataFrame([(c,) for c in [*alphabet, "<ins>"]], "truth string")
+    cells = truths.select("truth", F.explode(F.array(*map(F.lit, [*alphabet, "<del>"]))).alias("pred")).where("truth <> '<ins>' or pred <> '<del>'")
     return cells.join(named.groupBy("truth", "pred").agg(F.sum("n").alias("n")), ["truth", "pred"], "left").select("truth", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
