@@ -20,6 +20,12 @@ from collections import Counter
 SPAN = 2
 #: letters of the two endings of one stem
 TAIL = 3
+#: letters that a stem has at least
+STEM = 3
+#: stems that must have both of two endings
+OFTEN = 3
+#: signs before and after a word
+FIRST, LAST = "\x02", "\x03"
 
 
 def edit_of(true: str, read: str) -> tuple[str, str] | None:
@@ -65,15 +71,34 @@ class Spelling:
 
     def __init__(self, words: list[tuple[str, int]], unknown: float):
         """``unknown`` is the share of tokens that are right and unknown."""
-        self.log_unknown = math.log(unknown)
-        self.types = max(1, len(words))
-        self.tri, self.bi, self.uni = Counter(), Counter(), Counter()
+        tri, have, stems = Counter(), Counter(), {}
         for w, _ in words:
-            s = f"\x02\x02{w}\x03"
-            for i in range(2, len(s)):
-                self.tri[s[i - 2 : i + 1]] += 1
-                self.bi[s[i - 1 : i + 1]] += 1
-                self.uni[s[i]] += 1
+            s = f"{FIRST}{FIRST}{w}{LAST}"
+            tri.update(s[i - 2 : i + 1] for i in range(2, len(s)))
+            for t in range(TAIL + 1):
+                if len(w) - t >= STEM:
+                    stems.setdefault(w[: len(w) - t], []).append(w[len(w) - t :])
+                    have[w[len(w) - t :]] += 1
+        ends: Counter = Counter()
+        for tails in stems.values():
+            tails = [t for t in tails if have[t] >= OFTEN]
+            ends.update((a, b) for a in tails for b in tails if a != b)
+        self._fit(len(words), tri, have, ends, unknown)
+
+    @classmethod
+    def counted(cls, types: int, tri: dict[str, int], have: dict[str, int], ends: dict[tuple[str, str], int], unknown: float) -> Spelling:
+        """From counts over ``types`` words: trigrams, stems that have an ending, stems that have both of two endings; below :data:`OFTEN` the last two may be left out."""
+        out = cls.__new__(cls)
+        out._fit(types, tri, have, ends, unknown)
+        return out
+
+    def _fit(self, types: int, tri: dict[str, int], have: dict[str, int], ends: dict[tuple[str, str], int], unknown: float) -> None:
+        self.log_unknown = math.log(unknown)
+        self.types = max(1, types)
+        self.tri, self.bi, self.uni = Counter(tri), Counter(), Counter()
+        for g, n in tri.items():
+            self.bi[g[1:]] += n
+            self.uni[g[2:]] += n
         self.pre3, self.pre2 = Counter(), Counter()
         for g, n in self.tri.items():
             self.pre3[g[:2]] += n
@@ -82,21 +107,8 @@ class Spelling:
         self.total = sum(self.uni.values()) or 1
         self.size = len(self.uni) + 1
         # endings: of all stems that have one ending, the share that has the other too
-        stems: dict[str, list[str]] = {}
-        have = Counter()
-        for w, _ in words:
-            for t in range(TAIL + 1):
-                if len(w) - t >= 3:
-                    stems.setdefault(w[: len(w) - t], []).append(w[len(w) - t :])
-                    have[w[len(w) - t :]] += 1
-        self.ends = Counter()
-        for tails in stems.values():
-            if 1 < len(tails) <= 200:
-                for a in tails:
-                    for b in tails:
-                        if a != b:
-                            self.ends[a, b] += 1
-        self.have = have
+        self.ends = Counter({ab: n for ab, n in ends.items() if n >= OFTEN})
+        self.have = Counter(have)
 
     def letters(self, word: str) -> float:
         s, out = f"\x02\x02{word}\x03", 0.0
@@ -114,10 +126,10 @@ class Spelling:
         while n < len(known) and n < len(word) and known[n] == word[n]:
             n += 1
         best = 0.0
-        for cut in range(max(3, len(known) - TAIL, len(word) - TAIL), n + 1):
+        for cut in range(max(STEM, len(known) - TAIL, len(word) - TAIL), n + 1):
             a, b = known[cut:], word[cut:]
             c = self.ends[a, b]
-            if c >= 3:
+            if c >= OFTEN:
                 best = max(best, c / (self.have[a] + 10))
         return math.log(best / self.types) if best else -math.inf
 

@@ -19,10 +19,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 CHR = "Ꭰ-Ᏽᏸ-ᏽꭰ-ꮿ"
@@ -178,12 +181,8 @@ def canonical(text: str | None, known=None) -> str | None:
         return text
     if not _SUSPECT.search(text):
         return text
-    plain = plain_map()
-    mapped = "".join(plain.get(x, x) for x in text)
-    toks = _TOKENS.findall(mapped)[:-1] if mapped else []
     out = []
-    for i, tok in enumerate(toks):
-        s = _script(tok, toks[i - 1] if i else "", toks[i + 1] if i + 1 < len(toks) else "", i == 0, i == len(toks) - 1)
+    for tok, s in _scripts(text):
         if s == "chr":
             done = _put(tok, TO_CHR)
             tok = _settle(tok, done, known) if known is not None else done
@@ -193,6 +192,22 @@ def canonical(text: str | None, known=None) -> str | None:
     return unicodedata.normalize("NFC", "".join(out))
 
 
+def _scripts(text: str) -> Iterator[tuple[str, str]]:
+    """A text's tokens in plain letters, each with the script whose look-alikes it takes."""
+    plain = plain_map()
+    mapped = "".join(plain.get(x, x) for x in text)
+    toks = _TOKENS.findall(mapped)[:-1] if mapped else []
+    for i, tok in enumerate(toks):
+        yield tok, _script(tok, toks[i - 1] if i else "", toks[i + 1] if i + 1 < len(toks) else "", i == 0, i == len(toks) - 1)
+
+
+def wanted(text: str | None) -> set[str]:
+    """The letters, second look-alikes as first ones, by which :func:`canonical` looks for known terms."""
+    if not text or text.isascii() or not _SUSPECT.search(text):
+        return set()
+    return {core.translate(_TO_FIRST) for tok, s in _scripts(text) if s == "chr" and (core := _open(tok, _put(tok, TO_CHR)))}
+
+
 def _put(tok: str, by: dict[str, str]) -> str:
     """``tok`` with its letters mapped, but for those that carry a mark."""
     marks = mark_classes()
@@ -219,10 +234,15 @@ def _order(term: str) -> str:
     return term.translate(str.maketrans(_FIRST + _SECOND, "0" * len(_FIRST) + "1" * len(_SECOND)))
 
 
+def _open(tok: str, done: str) -> str:
+    """The Cherokee letters of ``done`` if a known term may settle them."""
+    core = _NO_CHR.sub("", done)
+    return core if any(x in _TWO for x in tok) and core.upper() == core and core in done else ""
+
+
 def _settle(tok: str, done: str, known) -> str:
     """``done`` with the first known term for its letters that keeps all letters of ``tok`` that were Cherokee already."""
-    core = _NO_CHR.sub("", done)
-    if not any(x in _TWO for x in tok) or core.upper() != core or core not in done:
+    if not (core := _open(tok, done)):
         return done
     seen = "".join(x for x in tok if x in LOOKS_CHEROKEE or _CHR_LETTER.match(x))
     for term in _by_letters(known).get(core.translate(_TO_FIRST), ()):
@@ -296,6 +316,25 @@ def _composed(cluster):
     return F.aggregate(cluster, zero, step, lambda acc: F.concat(acc["done"], F.coalesce(acc["starter"], F.lit("")), acc["tail"]))
 
 
+def settling_terms(rows: DataFrame, key: list[str], texts: list[str], words: DataFrame) -> DataFrame:
+    """``key`` and ``terms``: all terms of ``words(word)`` that may settle look-alikes in :func:`canonical` of the row's ``texts``; other rows are left out.
+
+    For terms of any number, joined by their letters instead of broadcast.
+    """
+    schema = T.StructType([*rows.select(*key).schema.fields, T.StructField("want", T.ArrayType(T.StringType()))])
+    k = len(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            want = [sorted(set().union(*map(wanted, x))) for x in zip(*[c.to_pylist() for c in b.columns[k:]])]
+            yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(want, pa.list_(pa.string()))], schema.names)
+
+    suspect = F.exists(F.array(*texts), lambda x: F.coalesce(x.rlike(SUSPECT), F.lit(False)))
+    want = rows.where(suspect).select(*key, *texts).mapInArrow(run, schema).select(*key, F.explode("want").alias("want"))
+    up = words.select(F.regexp_replace(F.upper("word"), f"[^{CHR}]", "").alias("term")).where(F.col("term").rlike(f"[{_FIRST}{_SECOND}]")).distinct()
+    return want.join(up.withColumn("want", F.translate("term", _SECOND, _FIRST)), "want").groupBy(*key).agg(F.collect_set("term").alias("terms"))
+
+
 def canonical_forms(df: DataFrame, key: list[str], text: str, out: str = "form", known: DataFrame | None = None) -> DataFrame:
     """``df``'s ``key`` columns, ``text`` and its canonical form ``out``.
 

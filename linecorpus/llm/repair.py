@@ -13,11 +13,12 @@ or that of a right word the vocabulary lacks
 ranked by how often they stand beside the neighbouring words.  Text is changed
 only where the evidence is clear (:data:`CLEAR`); a plausible word stays.
 
-Known words, headers, counts and candidates are tables of any size.  What is
-broadcast is bounded: the lexicon (:data:`MOST_TERMS`), the commonest
-:data:`COMMON` words, which spare a look-up but change no result, one shard of
-the vocabulary at a time, a bitmap of headers of fixed size, and models fitted
-on at most :data:`SAMPLE` lines and the words just named.
+Known words, headers, counts and candidates are tables of any size; a word of
+the vocabulary or made of such words is known however rare it is.  What is
+broadcast is bounded: the commonest :data:`COMMON` words, which spare a join
+but change no result, one shard of the vocabulary at a time, a bitmap of
+headers of fixed size, and the models, which are counted over all words and all
+lines read several times and whose size depends on letters only.
 
 Null and empty texts have no faults and repair to themselves.  Of repeated
 rows of one ``id`` the last ``ord`` goes into the running text.  Columns of
@@ -41,17 +42,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from linecorpus.llm.channel import Channel, Spelling, edit_of
-from linecorpus.llm.forms import CHR, canonical
+from linecorpus.llm.channel import FIRST, LAST, OFTEN, STEM, TAIL, Channel, Spelling, edit_of
+from linecorpus.llm.forms import CHR, canonical, settling_terms
 from linecorpus.llm.trie import Trie
 from linecorpus.plans.lineage import cut
 
-#: bound on the lexicon's terms, beyond which the operator refuses
-MOST_TERMS = 500_000
-#: commonest words that need no look-up and that the models are fitted on, beside the lexicon
+#: commonest words that tasks hold; those of a larger vocabulary are found by joins
 COMMON = 100_000
-#: labelled lines with several readings that the channel is fitted on
-SAMPLE = 10_000
 #: vocabulary words of one shard of the look-up
 SHARD = 50_000
 #: distinct page numbers that a running header must have stood with
@@ -89,10 +86,10 @@ def junk(word: str) -> bool:
 
 
 class Lines:
-    """What one line shows by itself; holds the words known for sure and the headers' bitmap."""
+    """What one line shows by itself; holds known words (``whole``: all of them) and the headers' bitmap."""
 
-    def __init__(self, known: frozenset[str], cells: bytes):
-        self.known, self.cells = known, cells
+    def __init__(self, known: frozenset[str], cells: bytes, whole: bool = True):
+        self.known, self.cells, self.whole = known, cells, whole
 
     def headed(self, words: list[str]) -> list[tuple[str, int]]:
         """Beginnings of a line (folded words) that may be a running header: phrase, and tokens it takes up."""
@@ -119,13 +116,13 @@ class Lines:
             out.append(i)
         return out
 
-    def look(self, text: str):
-        """``(canonical text, local faults, headed, odd)``.
+    def look(self, text: str, terms: list[str] | None = None):
+        """``(canonical text, local faults, headed, odd)``; ``terms`` may settle look-alikes where not all known words are held.
 
         ``headed`` holds (line, phrase, tokens), ``odd`` (place, word, first,
         left word, right word); places number the tokens of all lines.
         """
-        text = canonical(text, self.known)
+        text = canonical(text, self.known if self.whole else frozenset(terms or ()))
         faults, heads, odd, at = set(), [], [], 0
         lines = text.split("\n")
         for k, line in enumerate(lines):
@@ -265,6 +262,14 @@ def running_headers(lines: DataFrame, text: str, pages: int = HEADER_PAGES) -> D
     return c.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= pages).select("phrase")
 
 
+def differing(texts: list[str]) -> Iterator[tuple[str, str]]:
+    """Folded tokens that differ in one place of two readings with as many tokens."""
+    toks = [[fold(t) for t in x.split()] for x in dict.fromkeys(texts)]
+    for i, a in enumerate(toks):
+        for b in toks[i + 1 :]:
+            yield from ((x, y) for x, y in (zip(a, b) if len(a) == len(b) else ()) if x != y and x and y)
+
+
 def learnt(readings: list[tuple], known) -> tuple[Counter, Counter]:
     """Edits and letters counted over lines that were read several times: ``(true, read)`` to how often, letter to how often."""
     seen, letters = Counter(), Counter()
@@ -272,17 +277,77 @@ def learnt(readings: list[tuple], known) -> tuple[Counter, Counter]:
         texts = [canonical(x, known) for x in row if x]
         for x in texts:
             letters.update(c for c in x.upper() if c.isalpha())
-        toks = [[fold(t) for t in x.split()] for x in dict.fromkeys(texts)]
-        for i, a in enumerate(toks):
-            for b in toks[i + 1 :]:
-                for x, y in zip(a, b) if len(a) == len(b) else ():
-                    if x != y and x and y and (x in known) != (y in known):
-                        e = edit_of(x, y) if x in known else edit_of(y, x)
-                        if e:
-                            seen[e] += 1
+        for x, y in differing(texts):
+            if (x in known) != (y in known):
+                e = edit_of(x, y) if x in known else edit_of(y, x)
+                if e:
+                    seen[e] += 1
     return seen, letters
 
 
+#: pairs and letters that a task counts before it hands them on
+HELD = 100_000
+
+
+def edits(readings: DataFrame, key: str, vocabulary: DataFrame, held, whole: bool) -> tuple[dict, dict]:
+    """:func:`learnt` over a table: ``held`` is a broadcast set of known words, all of the vocabulary's if ``whole``."""
+    cols = [c for c in readings.columns if c != key]
+    rows = readings.withColumn("__terms", F.lit(None).cast("array<string>"))
+    if not whole:
+        rows = readings.join(settling_terms(readings, [key], cols, vocabulary).withColumnRenamed("terms", "__terms"), key, "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n = held.value, Counter()
+
+        def counted():
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in n], pa.string()), pa.array([y for _, y in n], pa.string()), pa.array(n.values(), pa.int64())], ["x", "y", "n"])
+
+        for b in batches:
+            for *row, terms in zip(*[c.to_pylist() for c in b.columns]):
+                mine = known if whole else frozenset(terms or ())
+                texts = [canonical(x, mine) for x in row if x]
+                n.update((c, None) for x in texts for c in x.upper() if c.isalpha())
+                for x, y in differing(texts):
+                    a, b_ = x in known, y in known
+                    if (a != b_ or not (a or whole)) and edit_of(x, y):
+                        n[min(x, y), max(x, y)] += 1
+            if len(n) > HELD:
+                yield counted()
+                n.clear()
+        yield counted()
+
+    got = cut(rows.select(*cols, "__terms").mapInArrow(run, "x string, y string, n long").groupBy("x", "y").agg(F.sum("n").alias("n")))
+    letters = {r["x"]: r["n"] for r in got.where("y is null").collect()}
+    sure = vocabulary.select("word", F.lit(True).alias("sure"))
+    pairs = got.where("y is not null").join(sure.toDF("x", "__x"), "x", "left").join(sure.toDF("y", "__y"), "y", "left").where(F.isnull("__x") != F.isnull("__y"))
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            e = [edit_of(x, y) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in e], pa.string()), pa.array([y for _, y in e], pa.string()), b.column(2)], ["true", "read", "n"])
+
+    true, read = F.when(F.isnull("__x"), F.col("y")).otherwise(F.col("x")), F.when(F.isnull("__x"), F.col("x")).otherwise(F.col("y"))
+    seen = pairs.select(true, read, "n").mapInArrow(cores, "true string, read string, n long").groupBy("true", "read").agg(F.sum("n").alias("n"))
+    return {(r["true"], r["read"]): r["n"] for r in seen.collect()}, letters
+
+
+def spelling(vocabulary: DataFrame, size: int, unknown: float) -> Spelling:
+    """:class:`Spelling` of a vocabulary of any size: only counts of letter groups reach the driver."""
+    w = F.col("word")
+    s, n = F.concat(F.lit(FIRST * 2), w, F.lit(LAST)), F.length(w)
+    tri = vocabulary.select(F.explode(F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.substring(s, i, F.lit(3)))).alias("g")).groupBy("g").count()
+    long = vocabulary.where(n >= STEM)
+    parts = F.transform(F.sequence(F.lit(0), F.least(F.lit(TAIL), n - STEM)), lambda t: F.struct(F.substring(w, F.lit(1), n - t).alias("stem"), F.substring(w, n - t + 1, t).alias("tail")))
+    stems = cut(long.select(F.explode(parts).alias("p")).select("p.stem", "p.tail"))
+    have = cut(stems.groupBy("tail").count().where(F.col("count") >= OFTEN))
+    # two endings that stems share often are each frequent, so the others are left out before they are paired
+    often = cut(stems.join(have.select("tail"), "tail", "left_semi"))
+    both = often.select("stem", F.col("tail").alias("a")).join(often.select("stem", F.col("tail").alias("b")), "stem").where("a != b")
+    ends = both.groupBy("a", "b").count().where(F.col("count") >= OFTEN)
+    counts = [{tuple(r[:-1]) if len(r) > 2 else r[0]: r["count"] for r in df.collect()} for df in (tri, have, ends)]
+    return Spelling.counted(size, *counts, unknown)
+
+
 @dataclass
 class Shared:
     """Tables of any size, and broadcasts of bounded size."""
@@ -293,6 +358,8 @@ class Shared:
     shards: int
     lines: object
     models: object
+    #: tasks hold the whole vocabulary
+    whole: bool = True
 
 
 def fitted(spark: SparkSession, lexicon: DataFrame, documents: DataFrame, lines: DataFrame, text: str, readings: DataFrame | None = None, key: str = "ord") -> Shared:
@@ -307,9 +374,6 @@ def fitted(spark: SparkSession, lexicon: DataFrame, documents: DataFrame, lines:
     vocabulary = cut(counts.where("n >= 2").unionByName(lex.unionByName(heads).withColumn("n", F.lit(1).cast("long"))).groupBy("word").agg(F.max("n").alias("n")))
     facts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum((F.col("n") == 1).cast("long")), F.lit(0)).alias("once")).first()
     size = vocabulary.count()
-    terms = [r["word"] for r in lex.limit(MOST_TERMS + 1).collect()]
-    if len(terms) > MOST_TERMS:
-        raise ValueError(f"the lexicon may have at most {MOST_TERMS} terms")
     # the least frequency whose words are no more than COMMON, in steps of a quarter power of two
     step = F.floor(4 * F.log2("n"))
     room, least = COMMON, 0
@@ -317,30 +381,34 @@ def fitted(spark: SparkSession, lexicon: DataFrame, documents: DataFrame, lines:
         if (room := room - r["count"]) < 0:
             least = r["step"] + 1
             break
-    common = vocabulary.where(step >= least).collect()
-    n_of = dict.fromkeys(terms, 1) | {r["word"]: r["n"] for r in common}
-    known = frozenset(n_of)
-    sample: list[tuple] = []
+    whole = least == 0
+    sc = spark.sparkContext
+    known = frozenset(r["word"] for r in vocabulary.where(step >= least).select("word").collect())
+    seen, letters = {}, {}
     if readings is not None:
         cols = [c for c in readings.columns if c != key]
         two = sum((F.coalesce(F.length(c), F.lit(0)) > 0).cast("int") for c in cols) >= 2
         differ = ~F.coalesce(F.greatest(*[F.col(c) for c in cols]) == F.least(*[F.col(c) for c in cols]), F.lit(True))
-        several = readings.where(two & differ)
-        # a hashed share of the lines, about SAMPLE of them
-        share = math.ceil(min(1.0, SAMPLE / max(1, several.count())) * (1 << 20))
-        sample = [tuple(r) for r in several.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < share).select(*cols).collect()]
-    seen, letters = learnt(sample, known)
+        seen, letters = edits(readings.where(two & differ), key, vocabulary, sc.broadcast(known), whole)
     channel = Channel(seen, letters)
     unknown = min(0.01, (facts["once"] + 1) / (facts["total"] + 1))
-    spelling = Spelling(sorted(n_of.items()), unknown)
     cells = bytearray(CELLS >> 3)
     crc = F.crc32("phrase").bitwiseAND(CELLS - 1)
     # at most CELLS numbers
     for r in headers.select(crc.alias("c")).distinct().collect():
         cells[r["c"] >> 3] |= 1 << (r["c"] & 7)
-    sc = spark.sparkContext
     log_total = math.log(max(1, facts["total"], size))
-    return Shared(counts, vocabulary, headers, max(1, -(-size // SHARD)), sc.broadcast(Lines(known, bytes(cells))), sc.broadcast((channel, spelling, log_total)))
+    models = sc.broadcast((channel, spelling(vocabulary, size, unknown), log_total))
+    return Shared(counts, vocabulary, headers, max(1, -(-size // SHARD)), sc.broadcast(Lines(known, bytes(cells), whole)), models, whole)
+
+
+def unknown_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``words(word)`` without those of the vocabulary and those whose parts between hyphens all are."""
+    sure = vocabulary.select("word")
+    words = cut(words.join(sure, "word", "left_anti"))
+    parts = words.where(F.contains("word", F.lit("-"))).select("word", F.explode(F.filter(F.split("word", "-"), lambda p: p != "")).alias("part"))
+    odd = parts.join(sure.toDF("part"), "part", "left_anti").select("word").distinct()
+    return words.where(~F.contains("word", F.lit("-"))).unionByName(odd)
 
 
 def judged(words: DataFrame, shared: Shared) -> DataFrame:
@@ -348,8 +416,11 @@ def judged(words: DataFrame, shared: Shared) -> DataFrame:
 
     ``readings`` are the candidates (word, odds) that are likelier than the word
     itself, best first; ``rest``: the word is the end of a vocabulary word.
+    Known words that tasks do not hold are left out.
     """
     spark = words.sparkSession
+    if not shared.whole:
+        words = unknown_words(words, shared.vocabulary)
     w = cut(words.join(shared.counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n")).repartition(2 * spark.sparkContext.defaultParallelism, "word"))
     schema = "word string, junk boolean, right double, derived double, found array<struct<word:string,logp:double>>"
     arrow = pa.schema([("word", pa.string()), ("junk", pa.bool_()), ("right", pa.float64()), ("derived", pa.float64()), ("found", pa.list_(pa.struct([("word", pa.string()), ("logp", pa.float64())])))])
@@ -385,11 +456,15 @@ def looked(df: DataFrame, shared: Shared, key: list[str], text: str, every: bool
     """``key``, the canonical text if ``every``, ``faults``, ``heads`` and ``odd``; unless ``every``, only rows that have any of these."""
     schema = T.StructType([*df.select(*key).schema.fields, *([T.StructField("__text", T.StringType())] if every else []), T.StructField("faults", T.ArrayType(T.StringType())), T.StructField("heads", HEADS), T.StructField("odd", ODD)])
     lines, k = shared.lines, len(key)
+    rows = df.where(F.col(text) != "").select(*key, text)
+    terms = F.lit(None).cast("array<string>")
+    if not shared.whole:
+        rows, terms = rows.join(settling_terms(rows, key, [text], shared.vocabulary).withColumnRenamed("terms", "__terms"), key, "left"), F.col("__terms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = lines.value
         for b in batches:
-            got = [r.look(t) for t in b.column(k).to_pylist()]
+            got = [r.look(t, x) for t, x in zip(b.column(k).to_pylist(), b.column(k + 1).to_pylist())]
             keep = [every or bool(g[1] or g[2] or g[3]) for g in got]
             got = [g for g, ok in zip(got, keep) if ok]
             cols = [b.column(i).filter(pa.array(keep, pa.bool_())) for i in range(k)] + ([pa.array([g[0] for g in got], pa.string())] if every else [])
@@ -398,7 +473,7 @@ def looked(df: DataFrame, shared: Shared, key: list[str], text: str, every: bool
             cols.append(pa.array([[dict(zip(("at", "word", "first", "left", "right"), o)) for o in g[3]] for g in got], _ODD_ARROW))
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return df.where(F.col(text) != "").select(*key, text).mapInArrow(run, schema)
+    return rows.select(*key, text, terms).mapInArrow(run, schema)
 
 
 def faulty(df: DataFrame, shared: Shared, key: list[str], text: str) -> DataFrame:
