@@ -7,8 +7,7 @@ Insertion order is the column ``ord``.
 
 from __future__ import annotations
 
-import difflib
-from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from linecorpus.functions.text import CHEROKEE, WS, count_class, or_else
+from linecorpus.functions.text import CHEROKEE, count_class, or_else
+from linecorpus.operators.similar import PLAIN, similar_pairs
 from linecorpus.plans.lineage import cut
 
 # filters ----------------------------------------------------------------------
@@ -152,136 +152,104 @@ def missing_crops(df: DataFrame, present: DataFrame, path: str = "image_path") -
     return df.where(~is_ignored()).join(present.select(path).distinct(), path, "left_anti")
 
 
-#: old lines of one block of the label transfer
-TRANSFER_BLOCK = 512
-#: pairs of letters that two lines must share in the index of similar lines
-SHARED = 3
-#: commonest pairs of letters, which the index puts last
-COMMON_PAIRS = 4096
+#: texts of one side that are compared in one task of the label transfer
+TRANSFER_BLOCK = 8192
+#: rounds in which only lines that lost their place are looked up, before all lines of their scans are
+TRANSFER_ROUNDS = 3
+#: rows of a table of scans that is still sent to all tasks; a larger one is joined by shuffle
+SENT = 100_000
+#: the white space of ``text.WS``
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PAIR = ("a_ord", "a_id", "b_ord", "b_id")
 
 
-def similar_pairs(old: list[str], new: list[str], least: float) -> list[tuple[int, int, float]]:
-    """All pairs of two lists of texts with a similarity above ``least``, by place.
+def _sent(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SENT else df
 
-    The similarity cannot exceed the share of letters that two texts have in
-    common, whatever their order; that bound is counted for one old text against
-    all new ones at once, and only pairs it lets through are compared.
+
+def similar_texts(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """``(scan, a_text, b_text, ratio)`` of all texts of one scan with a similarity above ``least``, of ``(scan, text)`` both; a text that is there twice counts once.
+
+    A scan with more texts than a block is cut into blocks on both sides, each pair of
+    which is a group of its own; small scans share groups.  No similar pair is lost.
     """
-    letters = {x: i for i, x in enumerate(sorted(set("".join(new))))}
-    have = np.zeros((len(new), len(letters) + 1), np.int32)
-    for i, t in enumerate(new):
-        for x in t:
-            have[i, letters[x]] += 1
-    sizes = np.array([len(t) for t in new])
-    out, m = [], difflib.SequenceMatcher(None)
-    for i, t in enumerate(old):
-        mine = np.zeros(len(letters) + 1, np.int32)
-        for x in t:
-            if x in letters:
-                mine[letters[x]] += 1
-        used = np.flatnonzero(mine)
-        common = np.minimum(have[:, used], mine[used]).sum(1)
-        m.set_seq1(t)
-        for j in np.flatnonzero(2.0 * common > least * (sizes + len(t))):
-            if t == new[j]:
-                out.append((i, int(j), 1.0))
-                continue
-            m.set_seq2(new[j])
-            if (r := m.ratio()) > least:
-                out.append((i, int(j), r))
-    return out
+    sizes = a.groupBy("scan").agg(F.count(F.lit(1)).alias("a_n")).join(b.groupBy("scan").agg(F.count(F.lit(1)).alias("b_n")), "scan")
+    large = F.greatest("a_n", "b_n") > TRANSFER_BLOCK
+    blocks = lambda n: F.ceil(F.col(n) / TRANSFER_BLOCK).cast("int")
+    sizes = cut(sizes.select("scan", large.alias("large"), blocks("a_n").alias("a_blocks"), blocks("b_n").alias("b_blocks"), (F.col("a_n") + F.col("b_n")).alias("n")))
+    few = sizes.agg(F.sum(F.when(~F.col("large"), F.col("n"))), F.sum(F.when(F.col("large"), F.col("a_blocks") * F.col("b_blocks"))), F.count(F.lit(1))).first()
+    sizes = _sent(sizes, few[2])
+    shared = -(-(few[0] or 0) // TRANSFER_BLOCK) or 1
+    tasks = max(2 * a.sparkSession.sparkContext.defaultParallelism, (shared + (few[1] or 0)) // 16)
+    key = ["bin", "i", "j"]
+
+    def placed(t: DataFrame, own: str, other: str) -> DataFrame:
+        # each text goes to one block of its side and meets all of the other side
+        mine, every = F.pmod(F.xxhash64("text"), F.col(f"{own}_blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+        bin_ = F.when(F.col("large"), F.xxhash64("scan")).otherwise(F.pmod(F.xxhash64("scan"), F.lit(shared)))
+        t = t.join(sizes, "scan").select("scan", "text", "large", bin_.alias("bin"), mine.alias("mine"), every.alias("met"))
+        at = lambda c: F.when(F.col("large"), F.col(c)).otherwise(F.lit(-1))
+        # under names of their own, both sides may come from one table
+        return t.select(F.col("scan").alias("scan"), F.col("text").alias("text"), F.col("bin").alias("bin"), at("mine" if own == "a" else "met").alias("i"), at("met" if own == "a" else "mine").alias("j")).repartition(tasks, *key)
+
+    def near(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        x, y = (t[["scan", "text"]].drop_duplicates() for t in (x, y))
+        got = similar_pairs(x["text"].tolist(), y["text"].tolist(), least, x["scan"].to_numpy(), y["scan"].to_numpy())
+        i, j = np.array([g[0] for g in got], np.int64), np.array([g[1] for g in got], np.int64)
+        return pd.DataFrame({"scan": x["scan"].to_numpy()[i], "a_text": x["text"].to_numpy()[i], "b_text": y["text"].to_numpy()[j], "ratio": np.array([g[2] for g in got], np.float64)})
+
+    return placed(a, "a", "b").groupBy(*key).cogroup(placed(b, "b", "a").groupBy(*key)).applyInPandas(near, "scan string, a_text string, b_text string, ratio double")
 
 
 def similar_lines(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
-    """``(scan, a_ord, a_id, b_ord, b_id, ratio)`` of all lines of one scan with a similarity above ``least``, of ``(scan, ord, id, text)`` both; ``ord`` and ``id`` together are unique.
-
-    Matched letters stand in blocks, of which there are at most one more than
-    letters unmatched.  So two texts of ``s`` letters together share at least
-    ``(1.5 * least - 1) * s`` pairs of neighbouring letters, rounded down, and,
-    the longer one being no more than ``(2 - least) / least`` times the other,
-    their rarest pairs but for that many share some too: these are joined.
-    Texts too short for that are compared in blocks, as are all if ``least`` is
-    two thirds or less.  No similar pair is lost.
+    """``(scan, a_ord, a_id, b_ord, b_id, ratio)`` of all lines of one scan with a similarity above ``least``, of ``(scan, ord, id, text)`` both; ``ord`` and ``id`` together are unique."""
+    texts = lambda t: t.select("scan", "text")
+    lines = lambda t, name: t.select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "text")])
+    return similar_texts(texts(a), texts(b), least).join(lines(a, "a"), ["scan", "a_text"]).join(lines(b, "b"), ["scan", "b_text"]).select("scan", *PAIR, "ratio")
+
+
+def _chosen(a: DataFrame, b: DataFrame, pairs: DataFrame, equal: bool) -> DataFrame:
+    """The greedy choice of each scan over known ``pairs`` of texts and, if ``equal``, equal texts: ``(scan, ord, id, text, new_id, ratio)`` of all old lines.
+
+    Where none was free the ratio is null; else the text is.
     """
-    part = 1.5 * least - 1
-    # below so many letters on both sides nothing is promised
-    short = int(SHARED / part) if part > 0 else 1 << 30
-    n = F.length("text")
-    close = _compared(a.where(n <= short), b.where(n <= short), least)
-    if part <= 0:
-        return close
-    grams = lambda t: t.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("g"))
-    common = grams(a.where(n > 1)).unionByName(grams(b.where(n > 1))).groupBy("g").count().orderBy(F.desc("count"), "g").limit(COMMON_PAIRS).collect()
-    order = {r["g"]: k for k, r in enumerate(reversed(common), 1)}
-
-    def index(t: DataFrame, name: str) -> DataFrame:
-        schema = T.StructType([*t.select("scan", "ord", "id").schema.fields, T.StructField("n", T.IntegerType()), T.StructField("g", T.StringType())])
-
-        def run(batches):
-            for pdf in batches:
-                at, n_, gs = [], [], []
-                for row, text in enumerate(pdf["text"]):
-                    seen: dict[str, int] = {}
-                    mine = []
-                    for i in range(len(text) - 1):
-                        g = text[i : i + 2]
-                        seen[g] = seen.get(g, 0) + 1
-                        mine.append((order.get(g, 0), g, seen[g]))
-                    sure = int(part * len(text) * 2 / (2 - least))
-                    keep = len(mine) - sure + SHARED if sure >= SHARED else len(mine)
-                    for _, g, k in sorted(mine)[: max(0, keep)]:
-                        at.append(row)
-                        n_.append(len(text))
-                        gs.append(f"{g}{k}")
-                out = pdf[["scan", "ord", "id"]].iloc[at].reset_index(drop=True)
-                yield out.assign(n=np.array(n_, np.int32), g=gs)
-
-        return t.where(F.length("text") > 1).mapInPandas(run, schema).select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "n")], "g")
-
-    met = index(a, "a").join(index(b, "b"), ["scan", "g"]).where((F.col("a_n") * least < F.col("b_n") * (2 - least)) & (F.col("b_n") * least < F.col("a_n") * (2 - least)))
-    # short texts of both sides have been compared
-    met = met.where((F.col("a_n") > short) | (F.col("b_n") > short)).groupBy("scan", *PAIR).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= SHARED)
-    texts = lambda t, name: t.select("scan", *[F.col(c).alias(f"{name}_{c}") for c in ("ord", "id", "text")])
-    full = met.join(texts(a, "a"), ["scan", *PAIR[:2]]).join(texts(b, "b"), ["scan", *PAIR[2:]])
-    return full.withColumn("ratio", F.when(F.col("a_text") == F.col("b_text"), 1.0).otherwise(above(F.when(F.col("a_text") != F.col("b_text"), F.col("a_text")), F.col("b_text"), F.lit(float(least))))).where(F.col("ratio") > least).select("scan", *PAIR, "ratio").unionByName(close)
-
-
-@F.pandas_udf(T.DoubleType())
-def above(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
-    """The similarity of two texts, null where the letters they have in common, whatever their order, show that it is not above ``least``."""
-    m, counts, memo, out = difflib.SequenceMatcher(None), {}, {}, []
-    for x, y, t in zip(a, b, least):
-        if x is None:
-            out.append(None)
-            continue
-        if (x, y) not in memo:
-            cx, cy = (counts.setdefault(z, Counter(z)) for z in (x, y))
-            common = sum(min(k, cy[z]) for z, k in cx.items() if z in cy)
-            memo[x, y] = None
-            if 2.0 * common > t * (len(x) + len(y)):
-                m.set_seqs(x, y)
-                memo[x, y] = m.ratio()
-        out.append(memo[x, y])
-    return pd.Series(out, dtype="float64")
-
-
-def _compared(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
-    """:func:`similar_lines` by blocks of a scan's lines against all of the other side."""
-    blocks = a.groupBy("scan").agg(F.ceil(F.count(F.lit(1)) / TRANSFER_BLOCK).cast("int").alias("blocks"))
-    ab = a.join(blocks, "scan").withColumn("block", F.pmod(F.xxhash64("ord", "id"), F.col("blocks")).cast("int"))
-    every = blocks.select("scan", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
-    bb = b.join(every, "scan")
-    kinds = {c: x.schema[c[2:]].dataType for c, x in zip(PAIR, (a, a, b, b))}
-    schema = T.StructType([T.StructField("scan", T.StringType()), *[T.StructField(c, k) for c, k in kinds.items()], T.StructField("ratio", T.DoubleType())])
-
-    def near(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        got = similar_pairs(x["text"].tolist(), y["text"].tolist(), least)
-        i, j = [g[0] for g in got], [g[1] for g in got]
-        cols = {c: (x if c[0] == "a" else y)[c[2:]].to_numpy()[i if c[0] == "a" else j] for c in PAIR}
-        return pd.DataFrame({"scan": key[0], **cols, "ratio": [g[2] for g in got]})
-
-    return ab.groupBy("scan", "block").cogroup(bb.groupBy("scan", "part")).applyInPandas(near, schema)
+    bins = 2 * a.sparkSession.sparkContext.defaultParallelism
+    kind = a.schema["ord"].dataType.simpleString()
+    lines = lambda t, name: t.select(F.lit(name).alias("side"), "scan", "ord", "id", "text")
+    binned = lambda t: t.withColumn("bin", F.pmod(F.xxhash64("scan"), F.lit(bins)).cast("int")).repartition(bins, "bin")
+
+    def choose(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values(["ord", "id"], kind="stable")
+        news, olds = x[x["side"] == "b"], x[x["side"] == "a"]
+        # free new lines of a text, the first last
+        free: dict[tuple[str, str], list[tuple[int, str]]] = {}
+        for k, (scan, text, i) in enumerate(zip(news["scan"], news["text"], news["id"])):
+            free.setdefault((scan, text), []).append((k, i))
+        for q in free.values():
+            q.reverse()
+        likes: dict[tuple[str, str], list[tuple[float, str]]] = {}
+        for scan, s, t, r in zip(y["scan"], y["a_text"], y["b_text"], y["ratio"]):
+            likes.setdefault((scan, s), []).append((r, t))
+        for q in likes.values():
+            q.sort(reverse=True)
+        ids: list[str | None] = []
+        ratios: list[float | None] = []
+        for scan, text in zip(olds["scan"], olds["text"]):
+            at, top = (scan, text), None
+            if equal and len(text) < PLAIN and free.get(at):
+                t, top = text, 1.0
+            elif at in likes:
+                left = likes[at] = [(r, t) for r, t in likes[at] if free.get((scan, t))]
+                if left:
+                    top = left[0][0]
+                    _, t = min((free[scan, t][-1][0], t) for r, t in left if r == top)
+            ids.append(None if top is None else free[scan, t].pop()[1])
+            ratios.append(top)
+        ratio = pd.Series(ratios, olds.index, dtype="float64")
+        return olds[["scan", "ord", "id"]].assign(text=olds["text"].where(ratio.isna(), None), new_id=pd.Series(ids, olds.index, dtype=object), ratio=ratio)
+
+    got = binned(lines(a, "a").unionByName(lines(b, "b"))).groupBy("bin").cogroup(binned(pairs).groupBy("bin")).applyInPandas(choose, f"scan string, ord {kind}, id string, text string, new_id string, ratio double")
+    return got.withColumn("ratio", F.when(~F.isnan("ratio"), F.col("ratio")))
 
 
 def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> DataFrame:
@@ -291,32 +259,48 @@ def transfer_labels(old: DataFrame, new: DataFrame, least: float = 0.75) -> Data
     highest ratio above ``least`` (the first of equals) out of the pool.  The
     result is ``(old_id, new_id, status, label, ratio)``.
 
-    Similar pairs are found first, by an index of letter pairs (:func:`similar_lines`),
-    so a scan that holds much of the table is many tasks; only the pairs found,
-    not the lines, come together for the greedy choice of their scan.
+    No ratio is above that of equal texts, so an old line that gets a new line of
+    its own text needs no other pairs.  Those that get none are compared with all
+    new texts of their scan (:func:`similar_texts`), and so are the lines that
+    lose their place to one of these, until every line either has one of its own
+    text or all its pairs are known: then the choice is that over all pairs.
+    A scan that holds much of the table is many tasks; only its known pairs and
+    their lines come together for the greedy choice.
     """
-    strip = lambda c: F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
-    ref = strip(or_else(strip("label"), strip("initial_ocr")))
-    o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & ref.isNotNull() & F.col("source_scan").isNotNull()).select("source_scan", "ord", "id", ref.alias("text"), "status", "label")
-    n = new.where(F.col("status").eqNullSafe("unlabeled") & (strip("initial_ocr") != "") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), F.col("ord").alias("new_ord"), F.col("id").alias("new_id"), strip("initial_ocr").alias("new_text"))
-    kind = old.schema["ord"].dataType.simpleString()
-    a = cut(o.select(F.col("source_scan").alias("scan"), "ord", "id", "text"))
-    b = cut(n.select("scan", F.col("new_ord").alias("ord"), F.col("new_id").alias("id"), F.col("new_text").alias("text")))
-    pairs = similar_lines(a, b, least).withColumnsRenamed({"scan": "source_scan", "a_ord": "old_ord", "a_id": "old_id", "b_ord": "new_ord", "b_id": "new_id"})
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["old_ord", "old_id", "ratio", "new_ord", "new_id"], ascending=[True, True, False, True, True], kind="stable")
-        taken, served, keep = set(), set(), []
-        for k, (oo, oi, no, ni) in enumerate(zip(pdf["old_ord"], pdf["old_id"], pdf["new_ord"], pdf["new_id"])):
-            if (oo, oi) not in served and (no, ni) not in taken:
-                served.add((oo, oi))
-                taken.add((no, ni))
-                keep.append(k)
-        return pdf.iloc[keep][["source_scan", "old_ord", "old_id", "new_id", "ratio"]]
-
-    won = pairs.groupBy("source_scan").applyInPandas(choose, f"source_scan string, old_ord {kind}, old_id string, new_id string, ratio double")
-    facts = o.select("source_scan", F.col("ord").alias("old_ord"), F.col("id").alias("old_id"), "status", F.nullif("label", F.lit("")).alias("label"))
-    return won.join(facts, ["source_scan", "old_ord", "old_id"]).select("old_id", "new_id", "status", "label", "ratio")
+    strip = lambda c: F.btrim(c, F.lit(SPACES))
+    ref = or_else(strip(F.col("label")), strip(F.col("initial_ocr")))
+    o = old.where(F.col("status").isin("labeled", "not_cherokee", "nasty_crop") & F.col("source_scan").isNotNull()).withColumnRenamed("source_scan", "scan")
+    a = o.select("scan", "ord", "id", ref.alias("text")).where("text is not null")
+    n = strip(F.col("initial_ocr"))
+    b = cut(new.where(F.col("status").eqNullSafe("unlabeled") & F.col("source_scan").isNotNull()).select(F.col("source_scan").alias("scan"), "ord", "id", n.alias("text")).where("text <> ''"))
+    # lines of a text are counted by its digest; if two should have the same, the rounds below find what that hides
+    digest = F.xxhash64("scan", "text").alias("d")
+    count = a.select(digest, "scan", "text", F.lit(1).alias("k")).unionByName(b.select(digest, F.lit(None).cast("string").alias("scan"), F.lit(None).cast("string").alias("text"), F.lit(-1).alias("k")))
+    count = count.groupBy("d").agg(F.max("scan").alias("scan"), F.max("text").alias("text"), F.sum("k").alias("k")).where("text is not null")
+    # of longer equal texts the ratio may be less
+    equal = least < 1
+    lost = looked = cut((count.where((F.col("k") > 0) | (F.length("text") >= PLAIN)) if equal else count).select("scan", "text"))
+    known = F.lit(equal) & (F.col("a_text") == F.col("b_text")) & (F.length("a_text") < PLAIN)
+    pairs, done, of = None, [], lambda t: t
+    for k in range(TRANSFER_ROUNDS + 2):
+        more = cut(similar_texts(lost, b.select("scan", "text"), least).where(~known))
+        pairs = more if pairs is None else pairs.unionByName(more)
+        won = cut(_chosen(of(a), of(b), of(pairs), equal))
+        lost = cut(won.where("ratio is null").select("scan", "text").distinct().join(looked, ["scan", "text"], "left_anti"))
+        scans = lost.select("scan").distinct()
+        if not (rows := scans.count()):
+            done.append(won)
+            break
+        # scans are independent, so only these are looked at again
+        scans = _sent(cut(scans), rows)
+        done.append(won.join(scans, "scan", "left_anti"))
+        of = lambda t, scans=scans: t.join(scans, "scan", "left_semi")
+        if k >= TRANSFER_ROUNDS:
+            lost = cut(of(a).select("scan", "text").distinct().join(looked, ["scan", "text"], "left_anti"))
+        looked = looked.unionByName(lost)
+    won = reduce(DataFrame.unionByName, done).where("ratio is not null").select("scan", "ord", "id", "new_id", "ratio")
+    facts = o.select("scan", "ord", "id", "status", F.nullif("label", F.lit("")).alias("label"))
+    return won.join(facts, ["scan", "ord", "id"]).select(F.col("id").alias("old_id"), "new_id", "status", "label", "ratio")
 
 
 def with_default(df: DataFrame, lookup: DataFrame, key: str, defaults: dict) -> DataFrame:

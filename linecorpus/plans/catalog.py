@@ -265,7 +265,7 @@ def _(s, d):
 @query("join06_transfer_labels")
 def _(s, d):
     m = table(s, d, "manifest_w_lang").where("dataset is null")
-    new = manifest.latest(m, "id", "ord").select("id", "ord", "source_scan", F.lit("unlabeled").alias("status"), F.lit(None).cast("string").alias("label"), "initial_ocr")
+    new = manifest.latest(m.select("id", "ord", "source_scan", "initial_ocr"), "id", "ord").select("id", "ord", "source_scan", F.lit("unlabeled").alias("status"), F.lit(None).cast("string").alias("label"), "initial_ocr")
     return manifest.transfer_labels(m, new)
 
 
